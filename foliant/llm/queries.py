@@ -30,8 +30,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.near_dedup import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, sf_dir, "documents")).drop("component")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op9_minhash_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -73,4 +79,19 @@ ORACLE_SQL: dict[str, str] = {
                CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op9_minhash_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, hash(w[i : i + least(len(w), 5) - 1]) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)
+        ), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), e AS MATERIALIZED (
+            SELECT x.a, x.b FROM (
+                SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.h = q.h AND p.doc_id <> q.doc_id GROUP BY ALL
+            ) x JOIN n na ON na.doc_id = x.a JOIN n nb ON nb.doc_id = x.b WHERE 100 * x.c >= 85 * (na.n + nb.n - x.c)
+        ), r AS (
+            SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b
+        ), c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+    """,
 }
