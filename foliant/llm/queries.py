@@ -36,8 +36,17 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents")).drop("component")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from foliant.llm.suffix_dedup import repeated_spans
+
+    found = repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op9_minhash_dedup)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op9_minhash_dedup, op10_suffix_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
