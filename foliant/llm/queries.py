@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foliant.llm import url_filter
 from foliant.llm.common import table
 
 
@@ -30,6 +31,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliant.llm.near_dedup import near_duplicate_groups
 
@@ -46,10 +53,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op9_minhash_dedup, op10_suffix_dedup)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op5_url_filter, op9_minhash_dedup, op10_suffix_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_url_filter": url_filter.SQL,
     "op1_exact_topk": """
         WITH v AS (
             SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
