@@ -13,18 +13,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
-
-    The setting is read from the session; only where it is unset (tests, notebooks) is a
-    temporary folder of this machine used. Spark deletes the files with the frame if
-    spark.cleaner.referenceTracking.cleanCheckpoints is on.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; only where it is unset (tests, notebooks)
+    a temporary folder of this machine."""
+    at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if at.isEmpty():
         spark.sparkContext.setCheckpointDir(
             spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="foliant-ckpt-")
         )
+        at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return spark.conf.get("spark.checkpoint.dir", None) or at.get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Spark deletes the files with the frame if spark.cleaner.referenceTracking.cleanCheckpoints
+    is on.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

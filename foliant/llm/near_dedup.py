@@ -6,9 +6,10 @@ are neighbouring cells, so all coordinates of a shingle are one contiguous slice
 
 1. Documents of equal shingle sets collapse into one class (an exact test on 64-bit shingle
    hashes), so copies are never paired.
-2. Bands of coordinates put classes into buckets. In each bucket all members are verified
-   against its smallest member on their full sets: as many pairs as members, not their square.
-3. Links that hold are joined into components. Buckets that still hold several components
+2. Bands of coordinates put classes into buckets, which the member that meets most others
+   leads. Each class is verified on full sets against its best lead (one pair a class) and
+   links are joined into components; then against leads of components that are not its own.
+3. Buckets that still hold several components
    are searched for links between these: blocks of members are compared by one-byte
    signatures, pairs whose estimated similarity lies ``slack`` standard errors below the
    threshold or closer are verified on full sets, and the components are joined again.
@@ -172,8 +173,13 @@ def near_duplicate_groups(
     sets = base.where("n > 0")
     classes = sets.groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("short").alias("short"))
     buckets = classes.select("node", F.explode("buckets").alias("bucket"))
-    leads = buckets.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("bucket", "lead")
-    crowded = durable(buckets.join(leads, "bucket").select("bucket", "node", "lead"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    shared = durable(buckets.join(sizes, "bucket").select("bucket", "node", "m"))
+    # the member that meets most others leads a bucket: in a family of copies, its original
+    degree = shared.groupBy("node").agg(F.sum("m").alias("degree"))
+    leads = shared.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("node"))).alias("x"))
+    leads = leads.select("bucket", "x.degree", (-F.col("x.node")).alias("lead"))
+    crowded = durable(shared.join(leads, "bucket").select("bucket", "node", "lead", "degree"))
 
     some = classes.select("node", "key", "n", "short").join(crowded.select("node").distinct(), "node")
     some = durable(some)
@@ -189,16 +195,24 @@ def near_duplicate_groups(
         both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_u", "text_v")
         return both.mapInArrow(_verify(size, percent, pair), "u long, v long")
 
-    sizes = some.select("node", "n")
-    stars = crowded.where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")).distinct()
-    stars = (
-        stars.join(sizes.select(F.col("node").alias("u"), F.col("n").alias("n_u")), "u")
-        .join(sizes.select(F.col("node").alias("v"), F.col("n").alias("n_v")), "v")
-        .where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-        .select("u", "v")
-    )
-    edges = durable(linked(stars))
+    n_of = lambda c: some.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"))
+
+    def similar_size(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(n_of("u"), "u").join(n_of("v"), "v")
+        return both.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")).select("u", "v")
+
+    # first each class against its best lead, one pair a class; then, where the two are not
+    # one component yet, against the leads of its other buckets
+    rays = crowded.where("node <> lead")
+    best = rays.groupBy("node").agg(F.max(F.struct("degree", (-F.col("lead")).alias("lead"))).alias("x")).select(F.col("node").alias("u"), (-F.col("x.lead")).alias("v"))
+    edges = durable(linked(similar_size(best)))
     labels = components(edges)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+    other = rays.select(F.col("node").alias("u"), F.col("lead").alias("v")).join(of("u"), "u", "left").join(of("v"), "v", "left")
+    other = other.where(F.coalesce("c_u", "u") != F.coalesce("c_v", "v")).select("u", "v").distinct().join(best, ["u", "v"], "left_anti")
+    edges = durable(linked(similar_size(other)))
+    if not edges.isEmpty():
+        labels = components(edges.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
     member = crowded.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("m")).where("a < b")
@@ -208,10 +222,12 @@ def near_duplicate_groups(
     cells = own.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "bucket", "node", "component", "n", "short", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side")
     )
-    close = cells.groupBy("bucket", "i", "j").applyInArrow(_close(percent, bands * rows, slack, pair), "u long, v long").distinct().join(stars, ["u", "v"], "left_anti")
+    close = cells.groupBy("bucket", "i", "j").applyInArrow(_close(percent, bands * rows, slack, pair), "u long, v long").distinct()
+    tested = rays.select(F.greatest("node", "lead").alias("u"), F.least("node", "lead").alias("v")).distinct()
+    close = close.join(tested, ["u", "v"], "left_anti")
     more = durable(linked(close))
     if not more.isEmpty():
-        labels = components(edges.unionByName(more))
+        labels = components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     # a class's node, its component and the component's smallest document id
     classed = classes.select("key", "node", "id").join(labels, "node", "left").select("key", "id", F.coalesce("component", "node").alias("component"))
     smallest = classed.groupBy("component").agg(F.min("id").alias("component_id"))

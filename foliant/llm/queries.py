@@ -25,6 +25,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from foliant.llm.quality import rate_documents, train
+
+    docs = table(spark, sf_dir, "documents")
+    rated = rate_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+    tail = F.coalesce(F.get("tails", F.lit(0)), F.lit(0.0))
+    return rated.select("doc_id", "expected_grade", tail.alias("tail_probability"), (tail >= 0.5).alias("selected"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliant.llm.decontamination import contamination_digest, find_contamination
 
@@ -37,6 +48,31 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from foliant.llm.language_id import identify_languages
+
+    found = identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("__language").alias("language"), F.col("__confidence").alias("confidence"), (~F.col("__rejected")).alias("kept"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from foliant.llm.toxicity import score_toxicity
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    found = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliant.llm.near_dedup import near_duplicate_groups
 
@@ -53,7 +89,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op4_decontamination, op5_url_filter, op9_minhash_dedup, op10_suffix_dedup)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_license_scan, op7_language_id, op8_toxicity, op9_minhash_dedup, op10_suffix_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
