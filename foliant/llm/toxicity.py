@@ -175,9 +175,9 @@ def _labelled(log_p: np.ndarray, schema: pa.Schema):
     return run
 
 
-def _scores(log_p: np.ndarray, weights: dict[str, float], prior: float, schema: pa.Schema):
+def _scores(log_p: np.ndarray, weights: dict[str, float], start: float, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, start = Words(log_p, weights), math.log(prior / (1 - prior))
+        words = Words(log_p, weights)
         for batch in batches:
             for at in range(0, len(batch), 512):
                 out = []
@@ -189,12 +189,14 @@ def _scores(log_p: np.ndarray, weights: dict[str, float], prior: float, schema:
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: F.Column | None = None, sample: int = 6000, least_rows: int = 3, least: float = 0.3, shrink: float = 10.0) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: F.Column | None = None, sample: int = 6000, least_rows: int = 3, least: float = 0.5, shrink: float = 10.0, margin: float = 2.0) -> DataFrame:
     """doc_id and score (0 to 1) of every row.
 
     ``held_out``: a condition on labels' rows that must not be learned from. A feature counts
     if at least ``least_rows`` toxic documents of the sample have it and its smoothed
     probability (``shrink`` rows of the prior are added) is at least ``least``.
+    ``margin``: log odds that the evidence must show beyond the prior's, against words that
+    merely chanced to be in toxic documents of the sample.
     """
     spark = docs.sparkSession
     counts = np.zeros(_SYMBOLS**3, np.int64)
@@ -222,4 +224,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         found = counted.where(F.col("toxic") >= least_rows).select("f", p.alias("p")).where(F.col("p") >= max(least, 1.5 * prior)).collect()  # bounded by the sample
         weights = {r.f: math.log(r.p / (1 - r.p)) - math.log(prior / (1 - prior)) for r in found}
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scores(log_p, weights, prior, schema), "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scores(log_p, weights, math.log(prior / (1 - prior)) - margin, schema), "doc_id long, score double")
