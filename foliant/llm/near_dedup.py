@@ -10,9 +10,10 @@ are neighbouring cells, so all coordinates of a shingle are one contiguous slice
    leads. Each class is verified on full sets against its best lead (one pair a class) and
    links are joined into components; then against leads of components that are not its own.
 3. Buckets that still hold several components
-   are searched for links between these: blocks of members are compared by one-byte
-   signatures, pairs whose estimated similarity lies ``slack`` standard errors below the
-   threshold or closer are verified on full sets, and the components are joined again.
+   are searched for links between these: blocks of members meet in one task, are compared by
+   one-byte signatures, and pairs whose estimated similarity lies ``slack`` standard errors
+   below the threshold or closer are verified there on full sets. Only links leave the task;
+   with them the components are joined again.
 
 So no link between documents that share a bucket is lost, though pairs inside a component
 are not listed. With 32 bands of 6 coordinates a pair at the threshold of 0.85 shares no
@@ -118,8 +119,9 @@ def _verify(size: int, percent: int, schema: pa.Schema):
     return run
 
 
-def _close(percent: int, coordinates: int, slack: float, schema: pa.Schema):
-    """Pairs of two blocks of a bucket, of different components, that may be linked."""
+def _close(size: int, percent: int, coordinates: int, slack: float, schema: pa.Schema):
+    """Links between two blocks of a bucket, of different components. A pair that shares
+    several buckets is looked at in the one of its first common band."""
     p = percent / 100
     least = int(coordinates * p - slack * (coordinates * p * (1 - p)) ** 0.5)
 
@@ -127,18 +129,30 @@ def _close(percent: int, coordinates: int, slack: float, schema: pa.Schema):
         side = group.column("side").to_numpy()
         node, comp, n = (group.column(c).to_numpy() for c in ("node", "component", "n"))
         sig = np.frombuffer(b"".join(group.column("short").to_pylist()), np.uint8).reshape(len(side), -1)
+        bands = np.array(group.column("buckets").to_pylist(), np.int64)
+        band = int(np.argmax(bands[0] == group.column("bucket")[0].as_py()))
+        texts, sets = group.column("text"), {}
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(texts[i].as_py(), size)
+            return sets[i]
+
         same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
-        out: list[np.ndarray] = [np.empty((2, 0), np.int64)]
+        out: list[tuple[int, int]] = []
         for a in left:
             b = right[(comp[right] != comp[a]) & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))]
             if same:
                 b = b[node[b] > node[a]]
             b = b[(sig[b] == sig[a]).sum(1) >= least]
-            out.append(np.vstack([np.maximum(node[b], node[a]), np.minimum(node[b], node[a])]))
-        u, v = np.hstack(out)
-        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
+            b = b[(bands[b] == bands[a]).argmax(1) == band]
+            for c in b:
+                both = len(np.intersect1d(of(a), of(c), assume_unique=True))
+                if 100 * both >= percent * (n[a] + n[c] - both):
+                    out.append((max(node[a], node[c]), min(node[a], node[c])))
+        return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=schema)
 
     return run
 
@@ -153,7 +167,7 @@ def near_duplicate_groups(
     bands: int = 32,
     rows: int = 6,
     slack: float = 6.0,
-    block: int = 1024,
+    block: int = 512,
     broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest id of the
@@ -181,7 +195,7 @@ def near_duplicate_groups(
     leads = leads.select("bucket", "x.degree", (-F.col("x.node")).alias("lead"))
     crowded = durable(shared.join(leads, "bucket").select("bucket", "node", "lead", "degree"))
 
-    some = classes.select("node", "key", "n", "short").join(crowded.select("node").distinct(), "node")
+    some = classes.select("node", "key", "n", "short", "buckets").join(crowded.select("node").distinct(), "node")
     some = durable(some)
     wanted = some.select("key", "node")
     if some.count() <= broadcast_rows:
@@ -217,15 +231,12 @@ def near_duplicate_groups(
     member = crowded.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("m")).where("a < b")
     parts = F.ceil(F.col("m") / block).cast("int")
-    open_ = member.join(mixed.select("bucket", parts.alias("parts")), "bucket").join(some.select("node", "n", "short"), "node")
+    open_ = member.join(mixed.select("bucket", parts.alias("parts")), "bucket").join(some.select("node", "n", "short", "buckets"), "node").join(texts, "node")
     own = open_.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     cells = own.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-        "bucket", "node", "component", "n", "short", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side")
+        "bucket", "node", "component", "n", "short", "buckets", "text", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side")
     )
-    close = cells.groupBy("bucket", "i", "j").applyInArrow(_close(percent, bands * rows, slack, pair), "u long, v long").distinct()
-    tested = rays.select(F.greatest("node", "lead").alias("u"), F.least("node", "lead").alias("v")).distinct()
-    close = close.join(tested, ["u", "v"], "left_anti")
-    more = durable(linked(close))
+    more = durable(cells.groupBy("bucket", "i", "j").applyInArrow(_close(size, percent, bands * rows, slack, pair), "u long, v long").distinct())
     if not more.isEmpty():
         labels = components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     # a class's node, its component and the component's smallest document id
