@@ -3,19 +3,18 @@
 A byte goes if a ``size``-byte string that covers it also starts somewhere else. The strings
 are suffixes cut at ``size`` bytes, and equal ones are neighbours in sorted order:
 
-1. Equal texts collapse; a text of at least ``size`` bytes with several rows is all repeats.
-2. Every suffix is anchored at the least hashed gram inside it. Equal suffixes have equal
+1. Every suffix is anchored at the least hashed gram inside it. Equal suffixes have equal
    anchors at equal offsets, so suffixes whose anchor occurs once are unique and drop out.
    Anchors whose whole context (all bytes that their suffixes can hold) is equal collapse
    into one with a count; suffixes of a context that occurs twice are repeats.
-3. The suffixes left, those where different contexts share an anchor, are sorted in runs by
+2. The suffixes left, those where different contexts share an anchor, are sorted in runs by
    the tasks that read them. Runs are front-coded (length of the common prefix with the
    entry before, then the rest) and exchanged by ranges of a bounded sample of keys.
-4. Each range is merged by a loser tree that carries common prefix lengths: entries compare
+3. Each range is merged by a loser tree that carries common prefix lengths: entries compare
    only beyond what both share with the last winner. Entries whose common prefix is the
    whole key are one string; its occurrences are counted.
 
-A key is the first ``head`` bytes of the suffix and a 128-bit hash of all of it, so a whole
+A key is the first ``head`` bytes of the suffix and a 96-bit hash of all of it, so a whole
 key stands for the whole string and the exchange stays small. A run carries an entry once,
 with its count, however often it occurs in the run.
 
@@ -32,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,8 @@ from foliant.llm.hashing import Prefix, mix
 
 _SEGMENT = 1 << 20  # suffixes of a text that are anchored at once
 _INDEX = np.uint64((1 << 22) - 1)
-_REF = np.dtype([("gram", "<i8"), ("context", "<i8"), ("offset", "<i4")])
+_REF = np.dtype([("id", "<i8"), ("offset", "<i2")])
+_HASH = 12  # bytes of a key that stand for the whole suffix
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -88,7 +89,7 @@ def _anchored(size: int, w: int, schema: pa.Schema):
     return run
 
 
-def _bodies(w: int, size: int, schema: pa.Schema):
+def _bodies(size: int, schema: pa.Schema):
     """Cut each context out of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +98,7 @@ def _bodies(w: int, size: int, schema: pa.Schema):
                 rows = []
                 for r in batch.slice(at, 128).to_pylist():
                     for c in r["contexts"]:
-                        rows.append((c["gram"], c["context"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + size]))
+                        rows.append((r["h"], c["p"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + size]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t.type) for j, t in enumerate(schema)], schema=schema)
 
     return run
@@ -113,6 +114,15 @@ def front_code(keys: np.ndarray) -> tuple[np.ndarray, bytes]:
     return lcp, keys[np.arange(width) >= lcp[:, None]].tobytes()
 
 
+def _pack(refs: np.ndarray) -> bytes:
+    """References byte by byte of their numbers, which compresses well."""
+    return np.ascontiguousarray(refs).view(np.uint8).reshape(len(refs), -1).T.tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(_REF.itemsize, -1).T).view(_REF).ravel()
+
+
 def sorted_run(keys: np.ndarray, counts: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct sorted keys with their counts and one reference each, and the references of
     keys that this run alone shows to be repeats."""
@@ -128,6 +138,8 @@ def sorted_run(keys: np.ndarray, counts: np.ndarray, refs: np.ndarray) -> tuple[
 def _runs(size: int, head: int, splitters: list[bytes], limit: int, schema: pa.Schema):
     """Sort suffixes in runs and deal their front-coded parts out by ranges of keys."""
 
+    press = zstandard.compress
+
     def flush(parts: list[tuple]) -> Iterator[tuple]:
         keys, counts, refs, done = sorted_run(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         heads = [k.tobytes() for k in keys[:, : len(splitters[0])]] if splitters else []
@@ -135,7 +147,8 @@ def _runs(size: int, head: int, splitters: list[bytes], limit: int, schema: pa.S
         cut = np.concatenate([[0], np.flatnonzero(side[1:] != side[:-1]) + 1, [len(keys)]])
         for j, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
             lcp, rest = front_code(keys[a:b])
-            yield int(side[a]), lcp.tobytes(), rest, counts[a:b].astype(np.uint8).tobytes(), refs[a:b].tobytes(), b"" if j else done.tobytes()
+            part = (lcp.tobytes(), rest, counts[a:b].astype(np.uint8).tobytes(), _pack(refs[a:b]), b"" if j else _pack(done))
+            yield int(side[a]), *map(press, part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -147,9 +160,9 @@ def _runs(size: int, head: int, splitters: list[bytes], limit: int, schema: pa.S
                     raw = np.frombuffer(body, np.uint8)
                     values = raw.astype(np.uint64) + np.uint64(1)
                     hashes = np.stack([Prefix(values).windows(size), Prefix(mix(values)).windows(size)], 1)
-                    keys = np.hstack([np.lib.stride_tricks.sliding_window_view(raw, head)[:n], np.ascontiguousarray(hashes).view(np.uint8)[:n]])
+                    keys = np.hstack([np.lib.stride_tricks.sliding_window_view(raw, head)[:n], np.ascontiguousarray(hashes).view(np.uint8)[:n, :_HASH]])
                     refs = np.empty(n, _REF)
-                    refs["gram"], refs["context"], refs["offset"] = r["gram"], r["context"], r["p"] - np.arange(n)
+                    refs["id"], refs["offset"] = r["id"], r["back"] - np.arange(n)
                     parts.append((keys, np.full(n, 2 if r["many"] else 1), refs))
                     held += n
                     if held >= limit:
@@ -248,9 +261,10 @@ def merge(runs: list[tuple[bytes, bytes]], width: int) -> Iterator[tuple[int, in
 
 def _merged(width: int, schema: pa.Schema):
     def run(group: pa.Table) -> pa.Table:
-        parts = group.select(["lcp", "rest", "counts", "refs", "done"]).to_pylist()
-        refs = [np.frombuffer(p["refs"], _REF) for p in parts]
-        out = [np.frombuffer(p["done"], _REF) for p in parts]
+        loose = zstandard.decompress
+        parts = [{k: loose(v) for k, v in p.items()} for p in group.select(["lcp", "rest", "counts", "refs", "done"]).to_pylist()]
+        refs = [_unpack(p["refs"]) for p in parts]
+        out = [_unpack(p["done"]) for p in parts]
         same: list[tuple[int, int]] = []
         hit: list[tuple[int, int]] = []
 
@@ -268,7 +282,7 @@ def _merged(width: int, schema: pa.Schema):
         if hit:
             out.append(np.array([refs[r][i] for r, i in hit], _REF))
         found = np.concatenate(out) if out else np.empty(0, _REF)
-        return pa.table([pa.array(np.ascontiguousarray(found[c]).astype(np.int64)) for c in ("gram", "context", "offset")], schema=schema)
+        return pa.table([pa.array(np.ascontiguousarray(found[c]).astype(np.int64)) for c in ("id", "offset")], schema=schema)
 
     return run
 
@@ -280,17 +294,14 @@ def _removed(size: int, with_text: bool, schema: pa.Schema):
                 out: list[list] = [[] for _ in schema]
                 for r in batch.slice(at, 128).to_pylist():
                     text = r["text"]
-                    if r["copies"] > 1:
-                        spans = [(0, len(text))]
-                    else:
-                        ranges = [(x["s"], x["e"]) for x in r["whole"] or ()]
-                        ranges += [(x["p"] - o, x["p"] - o + size) for x in r["single"] or () for o in x["offsets"]]
-                        spans = []
-                        for b, e in sorted(ranges):
-                            if spans and b <= spans[-1][1]:
-                                spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
-                            else:
-                                spans.append((b, e))
+                    ranges = [(x["s"], x["e"]) for x in r["whole"] or ()]
+                    ranges += [(x["p"] - o, x["p"] - o + size) for x in r["single"] or () for o in x["offsets"]]
+                    spans = []
+                    for b, e in sorted(ranges):
+                        if spans and b <= spans[-1][1]:
+                            spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
+                        else:
+                            spans.append((b, e))
                     kept, last = [], 0
                     for b, e in spans:
                         kept.append(text[last:b])
@@ -304,52 +315,64 @@ def _removed(size: int, with_text: bool, schema: pa.Schema):
     return run
 
 
-def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sample: int, with_text: bool) -> DataFrame:
-    """For each distinct text of at least size bytes (h, text): what repeats in it."""
+def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sample: int, broadcast_rows: int, with_text: bool) -> DataFrame:
+    """For each distinct text (h, text) in which something repeats: what goes."""
     spark = rows.sparkSession
     ints = lambda *names: [(n, pa.int64()) for n in names]
-    texts = rows.where(F.octet_length("text") >= size).groupBy("h").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    long = rows.where(F.octet_length("text") >= size)
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """The distinct texts that wanted (h, ...) names, with its other columns."""
+        keys = wanted.select("h")
+        if keys.count() <= broadcast_rows:
+            keys = F.broadcast(keys)
+        return long.join(keys, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h")
+
     schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
-    anchored = texts.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
+    anchored = long.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
     contexts = anchored.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"))
     shared = contexts.groupBy("gram").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1").select("gram", "kinds")
-    members = durable(anchored.join(contexts.join(shared, "gram"), ["gram", "context"]))
+    members = durable(anchored.join(contexts.join(shared, "gram"), ["gram", "context"]).select("h", "gram", "context", "p", "lo", "hi", "n", "kinds"))
 
+    # of a context that occurs once the only member, else the first, stands for it
     open_ = members.where("kinds > 1").groupBy("gram", "context").agg(F.min(F.struct("h", "p", "lo", "hi")).alias("x"), F.first("n").alias("n"))
-    of_text = open_.groupBy("x.h").agg(F.collect_list(F.struct("gram", "context", (F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts"))
-    body = pa.schema([*ints("gram", "context"), ("many", pa.bool_()), *ints("p", "n"), ("body", pa.binary())])
-    bodies = durable(texts.select("h", "text").join(of_text, "h").select("text", "contexts").mapInArrow(_bodies(w, size, body), "gram long, context long, many boolean, p long, n long, body binary"))
+    of_text = durable(open_.groupBy("x.h").agg(F.collect_list(F.struct((F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts")))
+    body = pa.schema([("h", pa.binary()), ("p", pa.int64()), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
+    cut = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(size, body), "h binary, p long, many boolean, back long, n long, body binary")
+    bodies = durable(cut.withColumn("id", F.monotonically_increasing_id()))
     # balances the ranges only; every suffix is sorted
-    drawn = sorted(bytes(r.b) for r in bodies.select(F.substring("body", 1, 16).alias("b")).orderBy(F.xxhash64("gram", "context")).limit(sample).collect())
+    drawn = sorted(bytes(r.b) for r in bodies.select(F.substring("body", 1, 16).alias("b")).orderBy(F.xxhash64("id")).limit(sample).collect())
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     splitters = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if len(drawn) >= ranges else []
     runs = pa.schema([("range", pa.int32()), *((c, pa.binary()) for c in ("lcp", "rest", "counts", "refs", "done"))])
     settled = (
-        bodies.mapInArrow(_runs(size, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
+        bodies.select("id", "many", "back", "n", "body")
+        .mapInArrow(_runs(size, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
         .groupBy("range")
-        .applyInArrow(_merged(head + 16, pa.schema(ints("gram", "context", "offset"))), "gram long, context long, offset long")
-        .groupBy("gram", "context")
+        .applyInArrow(_merged(head + _HASH, pa.schema(ints("id", "offset"))), "id long, offset long")
+        .groupBy("id")
         .agg(F.collect_set("offset").alias("offsets"))
     )
-    single = members.where("kinds > 1 and n = 1").select("gram", "context", "h", "p").join(settled, ["gram", "context"]).groupBy("h").agg(F.collect_list(F.struct("p", "offsets")).alias("single"))
-    whole = members.where("n > 1").groupBy("h").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + size).alias("e"))).alias("whole"))
-    found = texts.join(whole, "h", "left").join(single, "h", "left").select("h", "text", "copies", "whole", "single")
+    single = bodies.select("id", "h", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("p", "offsets")).alias("single"))
+    whole = members.where("n > 1").select("h", "lo", "hi").distinct().groupBy("h").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + size).alias("e"))).alias("whole"))
+    found = texts_of(durable(whole.join(single, "h", "full"))).select("h", "text", "whole", "single")
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("h", pa.binary()), ("n_removed", pa.int64()), ("spans", pa.list_(span)), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
     return found.mapInArrow(_removed(size, with_text, schema), "h binary, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string" + ", kept string" * with_text)
 
 
-def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 400, w: int = 151, head: int = 40, run_rows: int = 100_000, sample: int = 20_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 400, w: int = 151, head: int = 24, run_rows: int = 200_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
     """One row per document row: doc_id, n_bytes, n_removed, spans (byte ranges that go) and
     kept_sha256 of what stays.
 
     ``w``: suffixes per gram window (grams are size - w + 1 bytes). ``run_rows``: suffixes of
-    a run. ``sample``: keys drawn to balance the ranges of the exchange.
+    a run. ``sample``: keys drawn to balance the ranges of the exchange. ``broadcast_rows``: up
+    to so many 16-byte keys are broadcast to pick texts from the scan; more meet by a shuffle.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), bytes_of(text_col).alias("text")).withColumn("h", F.unhex(F.md5("text")))
-    found = _repeats(rows.select("h", "text"), size, w, head, run_rows, sample, False)
-    short = rows.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), F.when(F.octet_length("text") < size, F.sha2("text", 256)).alias("own"))
-    return short.join(found, "h", "left").select(
+    found = _repeats(rows.select("h", "text"), size, w, head, run_rows, sample, broadcast_rows, False)
+    each = rows.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
+    return each.join(found, "h", "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
@@ -358,13 +381,11 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def remove_repeats(docs: DataFrame, *, text_col: str = "text", size: int = 400, w: int = 151, head: int = 40, run_rows: int = 100_000, sample: int = 20_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, text_col: str = "text", size: int = 400, w: int = 151, head: int = 24, run_rows: int = 200_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
     """The documents, all columns, with repeated strings cut out of their texts. Where a cut
     parts a character of several bytes, its rest goes too."""
     rows = docs.withColumn("__text", bytes_of(text_col)).withColumn("__h", F.unhex(F.md5("__text")))
-    found = _repeats(rows.select(F.col("__h").alias("h"), F.col("__text").alias("text")), size, w, head, run_rows, sample, True)
-    short = rows.withColumn("__own", F.when(F.octet_length("__text") < size, F.col(text_col))).drop("__text", text_col)
+    found = _repeats(rows.select(F.col("__h").alias("h"), F.col("__text").alias("text")), size, w, head, run_rows, sample, broadcast_rows, True)
     kept = found.select(F.col("h").alias("__h"), F.col("kept").alias("__kept"))
-    joined = short.join(kept, "__h", "left").withColumn(text_col, F.coalesce("__kept", "__own"))
+    joined = rows.join(kept, "__h", "left").withColumn(text_col, F.coalesce("__kept", F.col(text_col)))
     return joined.select(*docs.columns)
-
