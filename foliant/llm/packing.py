@@ -151,7 +151,8 @@ def minimum_bin_slack(histogram: dict[int, int], capacity: int) -> PackPlan:
                     avail[part] = avail.get(part, 0) + n
             continue
         if total != capacity:
-            counts = {top: 1}  # a power of two on its own needs no padding
+            # a power of two needs no padding: as many of its like as make up the next one
+            counts = {top: min(1 << (avail[top].bit_length() - 1), 1 << ((capacity // top).bit_length() - 1))}
         times = min(avail[x] // m for x, m in counts.items())
         offset = 0
         for x, m in sorted(counts.items(), reverse=True):

@@ -116,7 +116,7 @@ def front_code(keys: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 def _pack(refs: np.ndarray) -> bytes:
     """References byte by byte of their numbers, which compresses well."""
-    return np.ascontiguousarray(refs).view(np.uint8).reshape(len(refs), -1).T.tobytes()
+    return np.ascontiguousarray(refs).view(np.uint8).reshape(len(refs), _REF.itemsize).T.tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
