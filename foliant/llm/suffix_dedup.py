@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import bytes_of, durable
+from foliant.llm.common import bytes_of, written
 from foliant.llm.hashing import Prefix, mix
 
 _SEGMENT = 1 << 20  # suffixes of a text that are anchored at once
@@ -330,16 +330,18 @@ def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sampl
 
     schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
     anchored = long.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
-    contexts = anchored.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"))
-    shared = contexts.groupBy("gram").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1").select("gram", "kinds")
-    members = durable(anchored.join(contexts.join(shared, "gram"), ["gram", "context"]).select("h", "gram", "context", "p", "lo", "hi", "n", "kinds"))
-
-    # of a context that occurs once the only member, else the first, stands for it
-    open_ = members.where("kinds > 1").groupBy("gram", "context").agg(F.min(F.struct("h", "p", "lo", "hi")).alias("x"), F.first("n").alias("n"))
-    of_text = durable(open_.groupBy("x.h").agg(F.collect_list(F.struct((F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts")))
+    grams = anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    members = written(anchored.join(grams, "gram", "left_semi"))
+
+    # the first member of a context stands for it
+    stand = F.min(F.struct("h", "p", "lo", "hi")).alias("x")
+    contexts = written(members.groupBy("gram", "context").agg(stand, F.count(F.lit(1)).alias("n")))
+    several = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
+    open_ = contexts.join(several, "gram", "left_semi")
+    of_text = written(open_.groupBy("x.h").agg(F.collect_list(F.struct((F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts")))
     body = pa.schema([("h", pa.binary()), ("p", pa.int64()), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
     cut = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(size, body), "h binary, p long, many boolean, back long, n long, body binary")
-    bodies = durable(cut.withColumn("id", F.monotonically_increasing_id()))
+    bodies = written(cut.withColumn("id", F.monotonically_increasing_id()))
     # balances the ranges only; every suffix is sorted
     drawn = sorted(bytes(r.b) for r in bodies.select(F.substring("body", 1, 16).alias("b")).orderBy(F.xxhash64("id")).limit(sample).collect())
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -354,8 +356,9 @@ def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sampl
         .agg(F.collect_set("offset").alias("offsets"))
     )
     single = bodies.select("id", "h", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("p", "offsets")).alias("single"))
-    whole = members.where("n > 1").select("h", "lo", "hi").distinct().groupBy("h").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + size).alias("e"))).alias("whole"))
-    found = texts_of(durable(whole.join(single, "h", "full"))).select("h", "text", "whole", "single")
+    again = members.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
+    whole = again.select("h", "lo", "hi").distinct().groupBy("h").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + size).alias("e"))).alias("whole"))
+    found = texts_of(written(whole.join(single, "h", "full"))).select("h", "text", "whole", "single")
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("h", pa.binary()), ("n_removed", pa.int64()), ("spans", pa.list_(span)), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
     return found.mapInArrow(_removed(size, with_text, schema), "h binary, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string" + ", kept string" * with_text)
