@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.functions.html import html_text
 from foliant.functions.text import normalise_space, normalised_clause, word_count
 from foliant.operators.clauses import context_windows, section_rollup, split_clauses
+from foliant.operators.extraction import item_rows
 from foliant.operators.layout import islands
 from foliant.operators.selection import candidates, composite_score, corrected_polarity, greedy_dedup, merge_provenance, supplement, top_per_bucket
+from foliant.operators.summary import balance, summarise
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +96,36 @@ def uncached_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(d.where("doc_id % 3 = 0").select("cache_key").distinct(), "cache_key", "left_anti").select("doc_id", "cache_key")
 
 
-QUERIES = {f.__name__: f for f in (normalize_text_stats, clause_counts, section_summary, conversation_windows, event_islands, polarity_majority, document_scores, topk_per_bucket, candidate_prefilter, greedy_parts, minimum_supplement, order_provenance, cost_estimate, uncached_documents)}
+def module_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part types stand for item types, brands for modules, sizes for scopes."""
+    kinds = F.array(*map(F.lit, ("covered", "not_covered", "limit", "deadline", "condition", "admin")))
+    modules = F.array(*map(F.lit, ("wa", "casco", "general", "legal", "elsewhere")))
+    scope = F.when(F.col("p_size") % 3 == 0, F.array(F.lit("wa"), F.lit("all_risk"))).when(F.col("p_size") % 3 == 1, F.array(F.lit("pechhulp"))).otherwise(F.array().cast("array<string>"))
+    pick = lambda a, c, n: F.get(a, F.pmod(c, F.lit(n)).cast("int"))
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice", pick(kinds, F.col("p_partkey"), 6).alias("item_type"), pick(modules, F.floor(F.col("p_partkey") / 6), 5).alias("module"), scope.alias("exclusion_scope"))
+    s = summarise(p, ["p_brand"], [F.desc("p_retailprice"), F.asc("p_partkey")])
+    return s.select("p_partkey", "p_brand", "item_type", "module", "bucket", "item_id")
+
+
+def module_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for documents, languages for modules."""
+    d = _t(spark, sf_dir, "documents").withColumns({"chosen": F.col("doc_id") % 11 == 0, "b": F.concat(F.lit("b"), F.col("doc_id") % 4)})
+    kept = balance(d, ["source"], "chosen", "b", "lang", [F.desc("n_chars"), F.asc("doc_id")], 8, ("b0", "b1", "b2"), ("en", "fr"))
+    return kept.select("source", "doc_id", "chosen", "b", "lang")
+
+
+def answer_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event properties stand for the items of model answers."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.concat(F.lit('```json\n{"items": [{"item_type": "'), "event_type", F.lit('", "headline": "h'), "user_id", F.lit('", "importance": '), F.when(F.col("event_id") % 5 == 0, '"x"').otherwise((F.col("event_id") % 5).cast("string")), F.lit("}]}\n```")).alias("answer"))
+    return item_rows(e, ["event_id"]).select("event_id", *_long("item_index"), "item_type", "module", "headline", *_long("importance"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of whole pages; a parser, so SQL has no form of it."""
+    return _t(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
+
+
+QUERIES = {f.__name__: f for f in (normalize_text_stats, clause_counts, section_summary, conversation_windows, event_islands, polarity_majority, document_scores, topk_per_bucket, candidate_prefilter, greedy_parts, minimum_supplement, order_provenance, cost_estimate, uncached_documents, module_items, module_balance, answer_items, page_texts)}
 
 _NORM = r"trim(regexp_replace(replace(coalesce({0}, ''), chr(173), ''), '[\s\p{{Z}}\x0B]+', ' ', 'g'))"
 _CLEAN = r"trim(regexp_replace(regexp_replace(replace(" + _NORM + r", chr(65533), '€'), '^[•\-–—\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
@@ -133,4 +165,17 @@ ORACLE_SQL = {
     "order_provenance": "SELECT l_orderkey, max(l_extendedprice) AS score, count(*) AS merged_count, (SELECT string_agg(CAST(p AS VARCHAR), ',' ORDER BY m) FROM (SELECT p, min(i) AS m FROM (SELECT unnest(ps) AS p, unnest(range(len(ps))) AS i) GROUP BY p)) AS parts FROM (SELECT *, list(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS ps FROM lineitem) GROUP BY l_orderkey, ps",
     "cost_estimate": r"SELECT count(*) AS windows, CAST(sum(w) AS BIGINT) AS words, CAST(sum(w) * 1.3::DOUBLE + 800 * count(*) AS DOUBLE) AS tokens_in, 250 * count(*) AS tokens_out FROM (SELECT len(list_filter(regexp_split_to_array(text, '[\s\p{Z}]+'), lambda w: w <> '')) AS w FROM conversations)",
     "uncached_documents": "WITH d AS (SELECT doc_id, substr(sha256(concat_ws('|', lang, text)), 1, 16) AS cache_key FROM documents) SELECT doc_id, cache_key FROM d WHERE cache_key NOT IN (SELECT cache_key FROM d WHERE doc_id % 3 = 0)",
+    "module_items": """WITH p AS (SELECT *, ['covered', 'not_covered', 'limit', 'deadline', 'condition', 'admin'][1 + p_partkey % 6] AS item_type,
+            ['wa', 'all_risk', 'general', 'rechtsbijstand', 'elsewhere'][1 + (p_partkey // 6) % 5] AS module, p_size % 3 AS k FROM part),
+        b AS (SELECT *, module <> 'elsewhere' AS known FROM p),
+        g AS (SELECT *, CASE WHEN item_type = 'covered' AND known THEN 'coverage_by_module' WHEN item_type = 'not_covered' AND (module = 'general' OR k = 0) THEN 'exclusions.common'
+            WHEN item_type = 'not_covered' THEN 'exclusions.by_module' WHEN item_type = 'limit' AND known THEN 'limits_by_module' WHEN item_type = 'deadline' THEN 'deadlines' WHEN item_type = 'condition' THEN 'conditions' END AS bucket,
+            CASE WHEN item_type IN ('covered', 'limit') THEN module WHEN item_type = 'not_covered' AND module <> 'general' AND k <> 0 THEN CASE WHEN k = 1 THEN 'pechhulp' ELSE module END END AS grp FROM b)
+        SELECT p_partkey, p_brand, item_type, module, bucket, concat_ws('.', bucket, grp, printf('%03d', row_number() OVER (PARTITION BY p_brand, bucket, grp ORDER BY p_retailprice DESC, p_partkey) - 1)) AS item_id FROM g WHERE bucket IS NOT NULL""",
+    "module_balance": """WITH d AS (SELECT *, doc_id % 11 = 0 AS chosen, 'b' || (doc_id % 4) AS b FROM documents),
+        c AS (SELECT *, count(*) FILTER (chosen) OVER (PARTITION BY source) AS n, count(*) FILTER (chosen) OVER (PARTITION BY source, b, lang) AS m,
+            row_number() OVER (PARTITION BY source, b, lang, chosen ORDER BY n_chars DESC, doc_id) AS r FROM d),
+        w AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY b, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END, lang) AS place FROM c WHERE NOT chosen AND m = 0 AND r = 1 AND b <> 'b3')
+        SELECT source, doc_id, chosen, b, lang FROM d WHERE chosen UNION ALL SELECT source, doc_id, chosen, b, lang FROM w WHERE place <= 8 - n""",
+    "answer_items": "SELECT event_id, CAST(0 AS BIGINT) AS item_index, 'covered' AS item_type, 'general' AS module, 'h' || user_id AS headline, event_id % 5 AS importance FROM events WHERE event_id % 5 <> 0",
 }

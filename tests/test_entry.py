@@ -10,7 +10,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-@pytest.mark.parametrize("name", sorted(reference.QUERIES))
+@pytest.mark.parametrize("name", sorted(reference.ORACLE_SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in os.listdir(DATA):
