@@ -330,8 +330,16 @@ def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sampl
 
     schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
     anchored = long.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
-    grams = anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    members = written(anchored.join(grams, "gram", "left_semi"))
+    grams = written(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    # fewer than 1000 grams can have more than a thousandth of the members; these meet their
+    # anchors in as many places as there are shuffle partitions
+    total = grams.agg(F.sum("n")).first()[0] or 0
+    hot = [r.gram for r in grams.where(F.col("n") * 1000 > total).select("gram").collect()]
+    spread = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    is_hot = F.col("gram").isin(hot) if hot else F.lit(False)
+    dealt = anchored.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("h"), spread)).otherwise(0).cast("int"))
+    places = grams.select("gram", F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
+    members = written(dealt.join(places.hint("merge"), ["gram", "salt"], "left_semi").drop("salt"))
 
     # the first member of a context stands for it
     stand = F.min(F.struct("h", "p", "lo", "hi")).alias("x")
