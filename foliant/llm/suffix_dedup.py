@@ -328,24 +328,28 @@ def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sampl
             keys = F.broadcast(keys)
         return long.join(keys, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h")
 
+    def meet(rows: DataFrame, grams: DataFrame, by: str) -> DataFrame:
+        """The rows whose gram is in grams (gram, n: rows that hold it). Fewer than 1000 grams
+        can have more than a thousandth of the rows; these meet theirs in as many places as
+        there are shuffle partitions."""
+        total = grams.agg(F.sum("n")).first()[0] or 0
+        hot = [r.gram for r in grams.where(F.col("n") * 1000 > total).select("gram").collect()]
+        spread = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        is_hot = F.col("gram").isin(hot) if hot else F.lit(False)
+        dealt = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64(by), spread)).otherwise(0).cast("int"))
+        places = grams.select("gram", F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
+        return dealt.join(places.hint("merge"), ["gram", "salt"], "left_semi").drop("salt")
+
     schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
     anchored = long.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
     grams = written(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    # fewer than 1000 grams can have more than a thousandth of the members; these meet their
-    # anchors in as many places as there are shuffle partitions
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    hot = [r.gram for r in grams.where(F.col("n") * 1000 > total).select("gram").collect()]
-    spread = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    is_hot = F.col("gram").isin(hot) if hot else F.lit(False)
-    dealt = anchored.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("h"), spread)).otherwise(0).cast("int"))
-    places = grams.select("gram", F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
-    members = written(dealt.join(places.hint("merge"), ["gram", "salt"], "left_semi").drop("salt"))
+    members = written(meet(anchored, grams, "h"))
 
     # the first member of a context stands for it
     stand = F.min(F.struct("h", "p", "lo", "hi")).alias("x")
     contexts = written(members.groupBy("gram", "context").agg(stand, F.count(F.lit(1)).alias("n")))
-    several = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
-    open_ = contexts.join(several, "gram", "left_semi")
+    several = written(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    open_ = meet(contexts, several, "context")
     of_text = written(open_.groupBy("x.h").agg(F.collect_list(F.struct((F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts")))
     body = pa.schema([("h", pa.binary()), ("p", pa.int64()), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
     cut = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(size, body), "h binary, p long, many boolean, back long, n long, body binary")
