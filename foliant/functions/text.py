@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,31 +22,34 @@ def strip(c: Column) -> Column:
 def clean_clause(c: Column, headers: str = "") -> Column:
     """Normalised text without leading bullets and, if given, a leading header phrase."""
     x = F.replace(normalise_space(c), F.lit("�"), F.lit("€"))
-    x = F.regexp_replace(x, r"^[•\-–—\s]+", "")
+    x = F.regexp_replace(x, r"^[-•‣●◦\s]+", "")
     return normalise_space(F.regexp_replace(x, f"(?i)^(?:{headers})", "") if headers else x)
 
 
-def normalised_clause(c: Column) -> Column:
-    return F.regexp_replace(F.lower(clean_clause(c)), r"[.:;,]+$", "")
+def normalised_clause(c: Column, headers: str = "") -> Column:
+    return F.regexp_replace(F.lower(clean_clause(c, headers)), r"[.:;,]+$", "")
 
 
 def word_count(c: Column) -> Column:
     return F.size(F.filter(F.split(c, r"(?U)\s+"), lambda x: x != ""))
 
 
-def sentences(c: Column) -> Column:
-    """Cut at white space between a sentence end and an upper-case letter or digit."""
-    return F.split(c, r"(?U)(?<=[.!?])\s+(?=[A-ZÀ-Ý0-9])")
+def sentences(c: Column, abbreviations: tuple[str, ...] = (), follow: str = "") -> Column:
+    """Cut at white space between a sentence end and an upper-case letter or digit, but not
+    after an abbreviation, nor between a question and the word that follows it up."""
+    held = "".join(f"(?<!{re.escape(a)})" for a in abbreviations)
+    held += rf"(?!(?<=\?) {re.escape(follow)} )" if follow else ""
+    return F.split(c, rf"(?U)(?<=[.!?]){held}\s+(?=[A-ZÀ-Ý0-9])")
 
 
 def merge_dependent(parts: Column, prefixes: tuple[str, ...]) -> Column:
     """Append a sentence to the one before if that ends in a question mark or it starts with
-    one of the prefixes."""
+    one of the prefixes (in lower case)."""
 
     def starts(x: Column) -> Column:
         out = F.lit(False)
         for p in prefixes:
-            out = out | x.startswith(p)
+            out = out | F.lower(x).startswith(p)
         return out
 
     def step(done: Column, x: Column) -> Column:

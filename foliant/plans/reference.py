@@ -128,7 +128,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (normalize_text_stats, clause_counts, section_summary, conversation_windows, event_islands, polarity_majority, document_scores, topk_per_bucket, candidate_prefilter, greedy_parts, minimum_supplement, order_provenance, cost_estimate, uncached_documents, module_items, module_balance, answer_items, page_texts)}
 
 _NORM = r"trim(regexp_replace(replace(coalesce({0}, ''), chr(173), ''), '[\s\p{{Z}}\x0B]+', ' ', 'g'))"
-_CLEAN = r"trim(regexp_replace(regexp_replace(replace(" + _NORM + r", chr(65533), '€'), '^[•\-–—\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
+_CLEAN = r"trim(regexp_replace(regexp_replace(replace(" + _NORM + r", chr(65533), '€'), '^[-•‣●◦\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
 _RANK = "row_number() OVER (PARTITION BY {0} ORDER BY n_chars DESC, doc_id)"
 
 ORACLE_SQL = {
