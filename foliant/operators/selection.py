@@ -75,3 +75,38 @@ def merge_provenance(df: DataFrame, keys: list[str], order: str, ids: str, score
     """Largest score, ids in order without repeats, and the number of merged rows."""
     c = F.array_sort(F.collect_list(F.struct(order, ids)))
     return df.groupBy(*keys).agg(F.max(score).alias("score"), F.count(F.lit(1)).alias("merged_count"), c.alias("c")).withColumn("ids", F.array_distinct(f"c.{ids}")).drop("c")
+
+
+def fallback_selection(df: DataFrame, scope: list[str], quotas: Mapping[str, int], module_buckets: tuple[str, ...], priority: str, order: list[Column], most: int = 80, bucket: str = "bucket", module: str = "module") -> DataFrame:
+    """The choice without a model: of each bucket the best by ``order`` up to its quota (of a
+    module bucket, of each module), then the ``most`` of least priority. Equal priorities keep
+    the order of choice: module buckets by module, then the other buckets as in ``quotas``."""
+    names = list(quotas)
+    at = lambda a, c: F.array_position(F.array(*map(F.lit, a)), c)
+    b, of_module = F.col(bucket), F.col(bucket).isin(*module_buckets)
+    limit = F.element_at(F.create_map(*(F.lit(x) for pair in quotas.items() for x in pair)), b)
+    part = F.when(of_module, F.coalesce(module, F.lit("general")))
+    rows = df.where(b.isin(*names)).withColumns({"__p": part, "__q": limit})
+    rows = rows.withColumn("__r", F.row_number().over(Window.partitionBy(*scope, bucket, "__p").orderBy(*order))).where("__r <= __q")
+    turn = [F.asc_nulls_last("__p"), F.when(of_module, at(module_buckets, b)).otherwise(at(names, b)), F.asc("__r")]
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*scope).orderBy(F.asc(priority), *turn)))
+    return rows.where(F.col("place") <= most).drop("__p", "__q", "__r")
+
+
+def too_few(groups: Column, records: Column, least: int = 35, most: int = 80) -> Column:
+    """A request to choose again if fewer groups came than asked for; else null."""
+    asked = F.least(F.lit(least), records)
+    ask = F.format_string(f"Only %d groups came back; at least %d are asked for, {most} at most. Choose again among the given ids, and answer as before.", groups.cast("int"), asked.cast("int"))
+    return F.when(groups < asked, ask)
+
+
+def run_totals(results: DataFrame, sums: list[str], before: str, after: str, invalid: str | None = None) -> DataFrame:
+    """One row: documents, sums of columns, the mean of the documents' reduction (1 - after /
+    before, 0 if nothing was there) and the number of distinct invalid ids of each document."""
+    cut = F.when(F.col(before) > 0, F.bround(1 - F.col(after) / F.col(before), 4)).otherwise(0.0)
+    wrong = [F.coalesce(F.sum(F.size(F.array_distinct(invalid))), F.lit(0)).alias("invalid_ids")] if invalid else []
+    return results.agg(F.count(F.lit(1)).alias("n_docs"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums), F.coalesce(F.bround(F.avg(cut), 4), F.lit(0.0)).alias("avg_reduction_ratio"), *wrong)
+
+
+def largest(sizes: DataFrame, by: str, key: str, k: int = 8) -> DataFrame:
+    return sizes.orderBy(F.desc(by), F.asc(key)).limit(k)
