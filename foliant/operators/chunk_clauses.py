@@ -101,7 +101,7 @@ def _paired(pairs: Column) -> Column:
 
 
 def _cells(row: Column) -> Column:
-    return _filled(F.transform(F.coalesce(row["cells"], F.array().cast("array<struct<text:string>>")), lambda c: _clean(c["text"])))
+    return _filled(F.coalesce(F.transform(row["cells"], lambda c: _clean(c["text"])), F.array().cast("array<string>")))
 
 
 def _repair(cells: Column) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,26 @@ def read_layout(spark: SparkSession, path: str, doc_ids: Iterable[str] | None =
     return only(df.select(F.regexp_replace("_metadata.file_name", r"\.json$", "").alias("doc_id"), F.col("value").alias("json")), doc_ids)
 
 
+def read_pdfs(spark: SparkSession, path: str, doc_ids: Iterable[str] | None = None) -> DataFrame:
+    """(doc_id, path, content) of the PDF files in a folder; an error if there are none."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(path)
+    df = only(df.select(F.regexp_replace("_metadata.file_name", r"(?i)\.pdf$", "").alias("doc_id"), "path", "content"), doc_ids)
+    if df.select("path").isEmpty():
+        raise FileNotFoundError(f"no PDF files in {path}")
+    return df
+
+
+def convert(pdfs: DataFrame, converter: Callable[[bytes], str], done: DataFrame | None = None) -> DataFrame:
+    """(doc_id, json) by a given picklable converter, but for the documents in ``done``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "json": [converter(bytes(c)) for c in b["content"]]}, dtype=object)
+
+    todo = pdfs if done is None else pdfs.join(done.select("doc_id"), "doc_id", "left_anti")
+    return todo.select("doc_id", "content").mapInPandas(run, "doc_id string, json string")
+
+
 def only(df: DataFrame, doc_ids: Iterable[str] | None) -> DataFrame:
     return df if doc_ids is None else df.where(F.col("doc_id").isin(*set(doc_ids)))
 
@@ -36,6 +57,22 @@ class Stages:
             build().write.mode("overwrite").parquet(f"{self.root}/{name}.parquet")
         return self.read(name)
 
+    def numbered(self, name: str, build: Callable[[], DataFrame], order: list[str], column: str) -> DataFrame:
+        """The table in order, numbered from 0 over all rows. Numbers are places in the sorted
+        partitions plus the sizes of those before; only the sizes reach the driver."""
+        place = F.monotonically_increasing_id().alias("__place")
+        df = self.table(name, lambda: build().sort(*order).select("*", place))
+        part = F.shiftright("__place", 33)
+        sizes = df.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+        before, offsets = 0, []
+        for r in sizes:
+            offsets += [F.lit(r.p), F.lit(before)]
+            before += r.n
+        if not offsets:
+            return df.withColumn(column, F.col("__place")).drop("__place")
+        base = F.element_at(F.create_map(*offsets), part).cast("long")
+        return df.withColumn(column, base + F.col("__place").bitwiseAND((1 << 33) - 1)).drop("__place")
+
     def csv(self, name: str, df: DataFrame) -> None:
         """Nested columns as JSON text."""
         flat = [F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes]
