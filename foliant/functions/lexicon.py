@@ -5,6 +5,8 @@ NOT_INSURED = "dit is niet verzekerd"
 #: Horizontal centre from which a box belongs to the right column.
 COLUMN_SPLIT = 300
 
+#: Marks of lists that open a clause, as characters of a pattern.
+CLAUSE_MARKS = r"\-•‣●◦"
 #: Phrases that open a clause and say nothing, as a pattern.
 CLAUSE_HEADERS = r"Bijzonderheden:|1\. Dit is verzekerd 2\. Dit is niet verzekerd\s+"
 #: Abbreviations that end no sentence.

@@ -19,15 +19,15 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGES, "")
 
 
-def clean_clause(c: Column, headers: str = "") -> Column:
-    """Normalised text without leading bullets and, if given, a leading header phrase."""
+def clean_clause(c: Column, headers: str = "", marks: str = r"•\-–—") -> Column:
+    """Normalised text without leading ``marks`` and, if given, a leading header phrase."""
     x = F.replace(normalise_space(c), F.lit("�"), F.lit("€"))
-    x = F.regexp_replace(x, r"^[-•‣●◦\s]+", "")
+    x = F.regexp_replace(x, rf"^[{marks}\s]+", "")
     return normalise_space(F.regexp_replace(x, f"(?i)^(?:{headers})", "") if headers else x)
 
 
-def normalised_clause(c: Column, headers: str = "") -> Column:
-    return F.regexp_replace(F.lower(clean_clause(c, headers)), r"[.:;,]+$", "")
+def normalised_clause(c: Column, headers: str = "", marks: str = r"•\-–—") -> Column:
+    return F.regexp_replace(F.lower(clean_clause(c, headers, marks)), r"[.:;,]+$", "")
 
 
 def word_count(c: Column) -> Column:
@@ -44,12 +44,12 @@ def sentences(c: Column, abbreviations: tuple[str, ...] = (), follow: str = "")
 
 def merge_dependent(parts: Column, prefixes: tuple[str, ...]) -> Column:
     """Append a sentence to the one before if that ends in a question mark or it starts with
-    one of the prefixes (in lower case)."""
+    one of the prefixes, regardless of case."""
 
     def starts(x: Column) -> Column:
         out = F.lit(False)
         for p in prefixes:
-            out = out | F.lower(x).startswith(p)
+            out = out | F.lower(x).startswith(p.lower())
         return out
 
     def step(done: Column, x: Column) -> Column:

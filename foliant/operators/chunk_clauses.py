@@ -23,7 +23,7 @@ def _any(tests: list[Column]) -> Column:
 
 
 def _clean(c: Column) -> Column:
-    return clean_clause(c, L.CLAUSE_HEADERS)
+    return clean_clause(c, L.CLAUSE_HEADERS, L.CLAUSE_MARKS)
 
 
 def _filled(c: Column) -> Column:
@@ -151,7 +151,7 @@ def chunk_clauses(chunks: DataFrame) -> DataFrame:
     return out.select(
         *passed, number.alias("clause_id"), section_id(c("section_path"), c("page_start"), c("title_text"), c("chunk_id")).alias("section_id"), "clause_position",
         c("f.row").alias("paired_row_idx"), c("f.role").alias("column_role"), F.coalesce(c("f.hint"), F.lit("")).alias("category_hint"),
-        c("f.text").alias("clause_text"), normalised_clause(c("f.text"), L.CLAUSE_HEADERS).alias("clause_text_norm"),
+        c("f.text").alias("clause_text"), normalised_clause(c("f.text"), L.CLAUSE_HEADERS, L.CLAUSE_MARKS).alias("clause_text_norm"),
     )
 
 

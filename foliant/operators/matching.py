@@ -24,7 +24,9 @@ def similarity(quote: str, text: str) -> float:
     best = SequenceMatcher(None, quote, text).ratio()
     if len(quote) >= 10:
         for i in range(len(text) - len(quote) + 1):
-            best = max(best, SequenceMatcher(None, quote, text[i : i + len(quote)]).ratio())
+            m = SequenceMatcher(None, quote, text[i : i + len(quote)])
+            if m.quick_ratio() > best:  # never below the ratio
+                best = max(best, m.ratio())
     return best
 
 
@@ -52,6 +54,9 @@ _MATCH = T.StructType([T.StructField("status", T.StringType()), T.StructField("s
 
 def _searched(quote: str, ids: list[str], texts: list[str], fuzzy: float) -> tuple[float, list[str]]:
     """Best clause of a section, ties all; below the threshold runs of three compete too."""
+    held = [i for i, t in zip(ids, texts, strict=True) if quote in t or t in quote]
+    if held:
+        return 1.0, held
     scores = [similarity(quote, t) for t in texts]
     best = max(scores, default=0.0)
     found = [i for i, s in zip(ids, scores, strict=True) if s == best and s > 0]

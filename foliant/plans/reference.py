@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from foliant.functions.html import html_text
 from foliant.functions.text import normalise_space, normalised_clause, word_count
+from foliant.operators.chunk_clauses import chunk_clauses
 from foliant.operators.clauses import context_windows, section_rollup, split_clauses
 from foliant.operators.extraction import item_rows
 from foliant.operators.layout import islands
-from foliant.operators.selection import candidates, composite_score, corrected_polarity, greedy_dedup, merge_provenance, supplement, top_per_bucket
-from foliant.operators.summary import balance, summarise
+from foliant.operators.matching import quote_position, validate_items
+from foliant.operators.selection import candidates, composite_score, corrected_polarity, fallback_selection, greedy_dedup, merge_provenance, run_totals, supplement, too_few, top_per_bucket
+from foliant.operators.summary import BUCKETS, balance, summarise
+from foliant.plans.report import customer_pages
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,10 +128,65 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (normalize_text_stats, clause_counts, section_summary, conversation_windows, event_islands, polarity_majority, document_scores, topk_per_bucket, candidate_prefilter, greedy_parts, minimum_supplement, order_provenance, cost_estimate, uncached_documents, module_items, module_balance, answer_items, page_texts)}
+def fallback_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for documents, languages for modules."""
+    d = _t(spark, sf_dir, "documents").withColumns({"b": F.concat(F.lit("b"), F.col("doc_id") % 4), "p": F.col("doc_id") % 3 + 1})
+    order = [F.asc("p"), F.desc("n_chars"), F.asc("doc_id")]
+    got = fallback_selection(d, ["source"], {"b0": 2, "b1": 3, "b2": 5, "b3": 4}, ("b0", "b1"), "p", order, 15, "b", "lang")
+    return got.select("source", "doc_id", "b", *_long("place"))
+
+
+def retry_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _t(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count_if(F.col("doc_id") % 7 == 0).alias("groups"), F.count(F.lit(1)).alias("records"))
+    return n.select("source", "lang", "groups", "records", too_few(F.col("groups"), F.col("records"), 3, 9).isNotNull().alias("again"))
+
+
+def conversation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns stand for items, a user's turns for those that were kept."""
+    c = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.count_if(F.col("role") == "user").alias("kept"), F.collect_list("role").alias("roles"))
+    return run_totals(c, ["turns", "kept"], "turns", "kept", "roles")
+
+
+def opening_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each turn holds the opening of its conversation."""
+    c = _t(spark, sf_dir, "conversations")
+    first = c.where("turn = 0").select("conv_id", F.col("text").alias("quote"))
+    return c.join(first, "conv_id").select("conv_id", "turn", quote_position(F.col("text"), F.col("quote")).cast("long").alias("position"))
+
+
+def cited_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes out of turns; those of even turns cite their turn."""
+    c = _t(spark, sf_dir, "conversations").withColumn("clause_id", F.lpad(F.col("turn").cast("string"), 3, "0"))
+    items = c.select("conv_id", "turn", F.substring("text", 5, 40).alias("exact_quote"), F.when(F.col("turn") % 2 == 0, F.array("clause_id")).alias("supporting_clause_ids"))
+    clauses = c.select("conv_id", "turn", "clause_id", F.col("text").alias("clause_text"), F.col("turn").alias("page_start"), F.col("turn").alias("page_end"), F.lit(None).cast("array<double>").alias("bbox"))
+    got = validate_items(items, clauses, ["conv_id"], order=["turn"])
+    return got.select("conv_id", "turn", F.col("validation_status").alias("status"), "quote_match_score", F.array_join("matched_clause_ids", ",").alias("ids"), *_long("page_start", "page_end"))
+
+
+def turn_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as lists; a test holds it against plain Python."""
+    none = lambda t: F.lit(None).cast(t)
+    c = _t(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("doc_id"), F.col("turn").cast("string").alias("chunk_id"), F.lit("list_chunk").alias("chunk_kind"), F.lit("").alias("title_text"), F.col("role").alias("section_path"), F.col("text").alias("text_raw"),
+        none("array<double>").alias("bbox"), F.lit(1).alias("page_start"), none("array<struct<row_idx:int,insured:string,not_insured:string>>").alias("pairs"), none("array<struct<row_idx:int,cells:array<struct<text:string>>>>").alias("rows"),
+    )
+    return chunk_clauses(c).select("clause_id", "section_id", "column_role", "category_hint", "clause_text")
+
+
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stand for documents, their lines for items; HTML, so SQL has no form of it."""
+    names = F.array(*map(F.lit, BUCKETS))
+    items = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), F.get(names, F.pmod("l_linenumber", F.lit(len(BUCKETS))).cast("int")).alias("bucket"), F.lit(None).cast("string").alias("group"),
+        F.concat_ws(".", "l_linenumber", "l_partkey", "l_suppkey").alias("item_id"), F.col("l_returnflag").alias("headline"), F.col("l_linestatus").alias("exact_quote"), F.array("l_linenumber").alias("source_pages"), F.array(F.col("l_partkey").cast("string")).alias("chunk_ids"),
+    )
+    return customer_pages(items)
+
+
+QUERIES = {f.__name__: f for f in (normalize_text_stats, clause_counts, section_summary, conversation_windows, event_islands, polarity_majority, document_scores, topk_per_bucket, candidate_prefilter, greedy_parts, minimum_supplement, order_provenance, cost_estimate, uncached_documents, module_items, module_balance, answer_items, page_texts, fallback_choice, retry_requests, conversation_totals, opening_places, cited_quotes, turn_clauses, order_pages)}
 
 _NORM = r"trim(regexp_replace(replace(coalesce({0}, ''), chr(173), ''), '[\s\p{{Z}}\x0B]+', ' ', 'g'))"
-_CLEAN = r"trim(regexp_replace(regexp_replace(replace(" + _NORM + r", chr(65533), '€'), '^[-•‣●◦\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
+_CLEAN = r"trim(regexp_replace(regexp_replace(replace(" + _NORM + r", chr(65533), '€'), '^[•\-–—\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
 _RANK = "row_number() OVER (PARTITION BY {0} ORDER BY n_chars DESC, doc_id)"
 
 ORACLE_SQL = {
@@ -177,5 +235,18 @@ ORACLE_SQL = {
             row_number() OVER (PARTITION BY source, b, lang, chosen ORDER BY n_chars DESC, doc_id) AS r FROM d),
         w AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY b, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END, lang) AS place FROM c WHERE NOT chosen AND m = 0 AND r = 1 AND b <> 'b3')
         SELECT source, doc_id, chosen, b, lang FROM d WHERE chosen UNION ALL SELECT source, doc_id, chosen, b, lang FROM w WHERE place <= 8 - n""",
+    "fallback_choice": """WITH d AS (SELECT *, 'b' || (doc_id % 4) AS b, doc_id % 3 + 1 AS p FROM documents), m AS (SELECT *, CASE WHEN b IN ('b0', 'b1') THEN lang END AS part FROM d),
+        r AS (SELECT *, row_number() OVER (PARTITION BY source, b, part ORDER BY p, n_chars DESC, doc_id) AS r FROM m),
+        k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY p, part NULLS LAST, b, r) AS place FROM r WHERE r <= CASE b WHEN 'b0' THEN 2 WHEN 'b1' THEN 3 WHEN 'b2' THEN 5 ELSE 4 END)
+        SELECT source, doc_id, b, place FROM k WHERE place <= 15""",
+    "retry_requests": "SELECT source, lang, count(*) FILTER (doc_id % 7 = 0) AS groups, count(*) AS records, count(*) FILTER (doc_id % 7 = 0) < least(3, count(*)) AS again FROM documents GROUP BY source, lang",
+    "conversation_totals": """SELECT count(*) AS n_docs, CAST(sum(turns) AS BIGINT) AS turns, CAST(sum(kept) AS BIGINT) AS kept, round_even(avg(round_even(1 - kept / turns, 4)), 4) AS avg_reduction_ratio, CAST(sum(roles) AS BIGINT) AS invalid_ids
+        FROM (SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'user') AS kept, count(DISTINCT role) AS roles FROM conversations GROUP BY conv_id)""",
+    "opening_places": f"""WITH c AS (SELECT conv_id, turn, lower({_NORM.format('text')}) AS t FROM conversations), q AS (SELECT conv_id, t AS q FROM c WHERE turn = 0),
+        x AS (SELECT conv_id, turn, t, q, regexp_replace(q[1:150], ' [^ ]*$', '') AS a, regexp_replace(q[1:80], ' [^ ]*$', '') AS b, regexp_replace(q[1:50], ' [^ ]*$', '') AS d FROM c JOIN q USING (conv_id))
+        SELECT conv_id, turn, coalesce(CASE WHEN q <> '' THEN nullif(instr(t, q), 0) END, CASE WHEN length(q) > 150 AND a <> '' THEN nullif(instr(t, a), 0) END, CASE WHEN length(q) > 80 AND b <> '' THEN nullif(instr(t, b), 0) END, CASE WHEN d <> '' THEN nullif(instr(t, d), 0) END, 0) AS position FROM x""",
+    "cited_quotes": f"""WITH c AS (SELECT conv_id, turn, text, lower({_NORM.format('text')}) AS t, substr(text, 5, 40) AS raw, lower({_NORM.format('substr(text, 5, 40)')}) AS q FROM conversations),
+        f AS (SELECT a.conv_id, a.turn, string_agg(lpad(CAST(b.turn AS VARCHAR), 3, '0'), ',' ORDER BY b.turn) AS ids, min(b.turn) AS page_start, max(b.turn) AS page_end FROM c a JOIN c b ON a.conv_id = b.conv_id AND (contains(b.t, a.q) OR contains(a.q, b.t)) AND (a.turn % 2 = 1 OR a.turn = b.turn) AND coalesce(a.raw, '') <> '' GROUP BY a.conv_id, a.turn)
+        SELECT c.conv_id, c.turn, CASE WHEN ids IS NULL THEN 'unverified' ELSE 'verified' END AS status, CASE WHEN ids IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS quote_match_score, coalesce(ids, '') AS ids, page_start, page_end FROM c LEFT JOIN f USING (conv_id, turn)""",
     "answer_items": "SELECT event_id, CAST(0 AS BIGINT) AS item_index, 'covered' AS item_type, 'general' AS module, 'h' || user_id AS headline, event_id % 5 AS importance FROM events WHERE event_id % 5 <> 0",
 }

@@ -1,9 +1,17 @@
 """Clauses of chunks of every kind."""
 
+import os
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+from foliant.functions import lexicon as L
 from foliant.operators.chunk_clauses import atomic, chunk_clauses, column_role, inline_bullets, marked, skipped
 from foliant.operators.clauses import context_windows
+from foliant.plans.reference import turn_clauses
+
+DATA = "/root/testdata/sf0.001"
 
 SCHEMA = "doc_id string, chunk_id string, chunk_kind string, title_text string, section_path string, text_raw string, bbox array<double>, page_start int, pairs array<struct<row_idx:int,insured:string,not_insured:string>>, rows array<struct<row_idx:int,cells:array<struct<text:string>>>>"
 
@@ -84,3 +92,30 @@ def test_marked_windows(spark):
     df = spark.createDataFrame([("s", 0, "c0", "insured", "", "een twee"), ("s", 1, "c1", "unknown", "limit", "drie")], "s string, i int, clause_id string, role string, hint string, t string")
     got = context_windows(df.withColumn("m", marked(F.col("clause_id"), F.col("role"), F.col("hint"), F.col("t"))), ["s"], ["i"], "m").first()
     assert got.context_text == "[clause_id=c0] [column=insured]\neen twee\n\n[clause_id=c1] [hint=limit]\ndrie"
+
+
+def plain_clauses(text):
+    """Lists in plain Python: lines, bullets, sentences, dependents, skips."""
+    clean = lambda t: re.sub(r"^(Bijzonderheden:|1\. Dit is verzekerd 2\. Dit is niet verzekerd\s+)", "", re.sub(r"^[-•‣●◦\s]+", "", " ".join((t or "").replace("\xad", "").replace("�", "€").split())), flags=re.I).strip()
+    out = []
+    for line in map(clean, (text or "").replace("\r", "").split("\n")):
+        head, *items = re.split(r"\s*[•‣●◦·]\s*", line)
+        whole = [clean(f"{head} {i}") for i in map(clean, items) if i] if items else [head]
+        for part in filter(None, whole):
+            done: list[str] = []
+            for s in filter(None, map(clean, re.split(r"(?<=[.!?])(?<!max\.)(?<!p\.p\.)(?<!btw\.)(?<!bovag\.)(?!(?<=\?) Dan )\s+(?=[A-ZÀ-Ý0-9])", part))):
+                if done and (done[-1].endswith("?") or s.lower().startswith(L.DEPENDENT)):
+                    done[-1] += f" {s}"
+                else:
+                    done.append(s)
+            out += done
+    low = [c.lower() for c in out]
+    skip = [re.fullmatch(r"\d+[.:]?", c) or any(p in c for p in L.SKIP_PHRASES) or c in L.SKIP_HEADINGS or c.startswith(L.SKIP_STARTS) for c in low]
+    return [(i, c) for i, (c, s) in enumerate(zip(out, skip, strict=True)) if not s]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_against_plain_python(spark):
+    turns = spark.read.parquet(f"{DATA}/conversations.parquet").collect()
+    want = sorted((f"{r.conv_id}:{r.turn}:rna:c{i}", c) for r in turns for i, c in plain_clauses(r.text))
+    assert sorted((r.clause_id, r.clause_text) for r in turn_clauses(spark, DATA).collect()) == want and want
