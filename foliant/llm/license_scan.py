@@ -4,8 +4,11 @@ A text is searched for each template where it holds one of the template's tellin
 rarest words that together are over 1 - ``least`` of it, so any text that covers ``least`` of
 the template holds one. The stretch around such words is aligned with the template: words
 that occur once in both are anchors, the longest increasing run of anchors is kept, and the
-gaps between them are aligned in the same way (equal ends first). Coverage is the share of
-the template's words that found a partner.
+gaps between them are aligned in the same way (equal ends first). A stretch where a telling
+word recurs may hold several copies, whose words are no anchors: its parts between recurrences
+and the template's place around each telling word, close and with a quarter more on both
+sides, are aligned too. Coverage is the share of the template's words that found a partner,
+the best of these alignments.
 
 Defined results: null, empty and other texts without a license have a null license, coverage
 0 and no span. Of equally covered templates the longer, then the first by name wins. Repeated
@@ -101,8 +104,28 @@ class Scanner:
                     break
                 telling.add(w)
                 held += count[w]
-            self._templates.append((name, words, telling))
-        self._any = frozenset().union(*(t for _, _, t in self._templates))
+            places = {w: [q for q, x in enumerate(words) if x == w] for w in telling}
+            self._templates.append((name, words, count, places))
+        self._any = frozenset().union(*(p for _, _, _, p in self._templates))
+
+    @staticmethod
+    def _windows(words: list[bytes], at: list[int], reach: int, count: Counter[bytes], places: dict[bytes, list[int]]) -> Iterator[tuple[int, int]]:
+        """The stretch around the telling words ``at`` and, where one recurs, its likely copies."""
+        yield max(0, at[0] - reach), min(len(words), at[-1] + reach + 1)
+        seen: Counter[bytes] = Counter()
+        cuts = [0]
+        for k, i in enumerate(at):
+            if seen[words[i]] == count[words[i]]:
+                cuts.append(k)
+                seen.clear()
+            seen[words[i]] += 1
+        if len(cuts) == 1:
+            return
+        for k, m in zip(cuts, [*cuts[1:], len(at)], strict=True):
+            yield max(0, at[k] - reach, at[k - 1] + 1 if k else 0), min(len(words), at[m - 1] + reach + 1, at[m] if m < len(at) else len(words))
+        for slack in (0, reach // 4 + 1):
+            for s in sorted({i - q for i in at for q in places[words[i]]}):
+                yield max(0, s - slack), min(len(words), s + reach + slack)
 
     def __call__(self, text: bytes | None) -> tuple[str | None, float, int, int]:
         """(name, coverage, first word, word after the last) of the best covered template."""
@@ -110,18 +133,21 @@ class Scanner:
         words = words_of(text) if text else []
         if self._any.isdisjoint(words):
             return None, 0.0, 0, 0
-        for name, template, telling in self._templates:
-            at = [i for i, w in enumerate(words) if w in telling]
+        for name, template, count, places in self._templates:
+            at = [i for i, w in enumerate(words) if w in places]
             reach, i = len(template), 0
             while i < len(at):
                 j = i
                 while j + 1 < len(at) and at[j + 1] - at[j] <= reach:
                     j += 1
-                a, b = max(0, at[i] - reach), min(len(words), at[j] + reach + 1)
-                pairs = align(words[a:b], template)
-                found = (len(pairs) / reach, reach, name)
-                if pairs and (found[0], found[1]) > best[:2]:
-                    best = (*found, a + pairs[0][0], a + pairs[-1][0] + 1)
+                for a, b in self._windows(words, at[i : j + 1], reach, count, places):
+                    most = sum((count & Counter(words[a:b])).values()) / reach
+                    if most < self._least or (most, reach) <= best[:2]:
+                        continue  # no alignment finds more partners
+                    pairs = align(words[a:b], template)
+                    found = (len(pairs) / reach, reach, name)
+                    if pairs and (found[0], found[1]) > best[:2]:
+                        best = (*found, a + pairs[0][0], a + pairs[-1][0] + 1)
                 i = j + 1
         if best[0] < self._least:
             return None, 0.0, 0, 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foliant.llm import hashing
 from foliant.llm.decontamination import contamination_digest, digest_of, find_contamination
 from foliant.llm.language_id import identify_languages
-from foliant.llm.license_scan import TEMPLATES, align, scan_licenses
+from foliant.llm.license_scan import TEMPLATES, align, scan_licenses, words_of
 from foliant.llm.near_dedup import near_duplicate_groups
 from foliant.llm.packing import minimum_bin_slack, pack_documents
 from foliant.llm.quality import rate_documents, train
@@ -246,6 +246,17 @@ def test_licenses(docs, empty):
     assert scan_licenses(empty).count() == 0
 
 
+def test_repeated_licenses(spark):
+    # copies after each other in mid-document; the last with a word changed in each copy
+    edit = lambda t, k: " ".join("edited" if i == k else w for i, w in enumerate(t.split()))
+    rows = [(100 * n + i, f"{text(40)}\n" + "\n".join([t] * n) + f"\n{text(40)}") for n in (2, 3) for i, t in enumerate(TEMPLATES.values())]
+    rows += [(900 + i, f"license {text(9)} {edit(TEMPLATES[t], 7)} {text(5)} {edit(TEMPLATES[t], 20)} {text(30)}") for i, t in enumerate(("MIT", "GPL-3.0"))]
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[100 * n + i].license, got[100 * n + i].coverage) for n in (2, 3) for i in range(len(TEMPLATES))] == [(t, 1.0) for t in TEMPLATES] * 2
+    assert [got[900 + i].license for i in range(2)] == ["MIT", "GPL-3.0"] and all(got[900 + i].coverage > 0.95 for i in range(2))
+    assert all(r.end - r.start == len(words_of(TEMPLATES[r.license].encode())) for r in got.values() if r.coverage == 1)
+
+
 def test_pipeline_stages(spark, docs, empty):
     import corpus_pipeline
 
