@@ -9,9 +9,10 @@ The posterior of a language is the product of
 * the host's prior: shares of declared languages of its documents, smoothed towards the
   shares of all documents, by grouped aggregation.
 
-Languages are the declared values that at least ``min_share`` of the documents carry, at most
-``max_languages`` of them, so what reaches the driver is bounded. A document is rejected if
-it has no letters or if no language reaches ``confidence``.
+Languages are all declared values, however rare. They are counted and scored in shards of
+``shard`` languages: a shard takes 2 ** bits numbers a language on the driver and in each
+worker, and only the shares of the languages are held for all. A document is rejected if it
+has no letters or if no language reaches ``confidence``.
 
 Defined results: null or empty text, or text without letters, is rejected (language null).
 Null or unknown declared values, suffixes and hosts give no evidence. With no languages at
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm.common import written
 from foliant.llm.grams import gram_counts
 
 _LETTER = np.zeros(256, bool)
@@ -47,17 +49,48 @@ def _counted(bits: int, schema: pa.Schema):
     return run
 
 
-def _likelihoods(bits: int, log_p: np.ndarray, temper: float, at_column: int):
+def _fused(bits: int, log_p: np.ndarray, first: int, langs: list[str], shares: np.ndarray, temper: float, trust: float, strength: float, columns: dict[str, str]):
+    """Scores of the languages from ``first`` on, added to those of the shards before: the
+    largest score, the sum of exponents below it and the index of its language."""
+    here = {x: i for i, x in enumerate(langs)}
+    yes, no = float(np.log(trust)), float(np.log((1 - trust) / max(1, len(langs) - 1)))
+    n_here, log_share = log_p.shape[1], np.log(shares)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part, out, letters = batch.slice(at, 512), [], []
-                for text in part.column(at_column).to_pylist():
-                    raw = text.encode() if text else b""
-                    letters.append(bool(_LETTER[np.frombuffer(raw, np.uint8)].any()) if raw else False)
-                    out.append((temper * (gram_counts(raw, bits) @ log_p)).tolist())
-                names = [*part.schema.names, "__text", "__letters"]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.list_(pa.float64())), pa.array(letters, pa.bool_())], names=names)
+            for at in range(0, len(batch), 64):
+                part = batch.slice(at, 64)
+                texts = [t.encode() if t else b"" for t in part.column(columns["text"]).to_pylist()]
+                scores = temper * (np.array([gram_counts(t, bits) for t in texts], float) @ log_p)
+                prior = np.repeat(log_share[None, first : first + n_here], len(texts), 0)
+                if "host" in columns:
+                    for row, (which, many) in enumerate(zip(part.column("__which").to_pylist(), part.column("__many").to_pylist(), strict=True)):
+                        if which is not None:
+                            n = np.zeros(n_here)
+                            for i, k in zip(which, many, strict=True):
+                                if first <= i < first + n_here:
+                                    n[i - first] = k
+                            prior[row] = np.log((n + strength * shares[first : first + n_here]) / (sum(many) + strength))
+                scores += prior
+                for said in ("declared", "suffix"):
+                    if said in columns:
+                        for row, x in enumerate(part.column(columns[said]).to_pylist()):
+                            if (i := here.get(x)) is not None:
+                                scores[row] += no
+                                if first <= i < first + n_here:
+                                    scores[row, i - first] += yes - no
+                best = scores.argmax(1)
+                top = scores[np.arange(len(texts)), best]
+                total, best = np.exp(scores - top[:, None]).sum(1), best + first
+                if first:
+                    top0, total0, best0 = (part.column(c).to_numpy(zero_copy_only=False) for c in ("__top", "__total", "__best"))
+                    high = np.maximum(top, top0)
+                    total = total * np.exp(top - high) + total0 * np.exp(top0 - high)
+                    best, top = np.where(top > top0, best, best0), high
+                letters = [bool(_LETTER[np.frombuffer(t, np.uint8)].any()) for t in texts]
+                kept = [c for c in part.schema.names if c not in ("__top", "__total", "__best", "__letters")]
+                made = {"__top": pa.array(top, pa.float64()), "__total": pa.array(total, pa.float64()), "__best": pa.array(best, pa.int32()), "__letters": pa.array(letters, pa.bool_())}
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *made.values()], names=[*kept, *made])
 
     return run
 
@@ -73,8 +106,7 @@ def identify_languages(
     temper: float = 0.1,
     trust: float = 0.9,
     host_strength: float = 20.0,
-    min_share: float = 0.001,
-    max_languages: int = 64,
+    shard: int = 512,
     confidence: float = 0.6,
     broadcast_hosts: int = 50_000,
 ) -> DataFrame:
@@ -83,38 +115,38 @@ def identify_languages(
     ``broadcast_hosts``: up to so many hosts' priors are broadcast, more meet by a shuffle.
     """
     declared = docs.where(F.col(declared_col).isNotNull()).groupBy(F.col(declared_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    total = declared.agg(F.sum("n")).first()[0] or 0
-    share = {r.lang: r.n / total for r in declared.where(F.col("n") >= min_share * total).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
-    langs = sorted(share)
+    found = {r.lang: r.n for r in declared.collect()}  # a row a language
+    langs = sorted(found)
     if not langs:
         return docs.withColumns({"__language": F.lit(None).cast("string"), "__confidence": F.lit(0.0), "__rejected": F.lit(True)})
-    known = docs.where(F.col(declared_col).isin(langs))
-    schema = pa.schema([("lang", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
-    counts = np.full((1 << bits, len(langs)), 0.5)
-    counted = known.select(F.col(declared_col), F.col(text_col).cast("binary")).mapInArrow(_counted(bits, schema), "lang string, bin int, n long")
-    for r in counted.groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():  # 2 ** bits rows a language at most
-        counts[r.bin, langs.index(r.lang)] += r.n
-    log_p = np.log(counts / counts.sum(0))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = docs.mapInArrow(_likelihoods(bits, log_p, temper, docs.columns.index(text_col)), f"{fields}, __text array<double>, __letters boolean")
-
-    other = (1 - trust) / max(1, len(langs) - 1)
-    said = lambda c, x: F.when(F.col(c) == x, float(np.log(trust))).when(F.col(c).isin(langs), float(np.log(other))).otherwise(0.0)
-    prior = {x: F.lit(float(np.log(share[x]))) for x in langs}
+    shares = np.array([found[x] for x in langs], float) / sum(found.values())
+    known = docs.where(F.col(declared_col).isNotNull())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(langs)), "__i int, __lang string")
+    columns = {"text": text_col, "declared": declared_col} | ({"suffix": suffix_col} if suffix_col else {}) | ({"host": host_col} if host_col else {})
+    out = docs
     if host_col:
-        hosts = known.where(F.col(host_col).isNotNull()).groupBy(F.col(host_col).alias("__host")).agg(F.count(F.lit(1)).alias("n"), *(F.sum((F.col(declared_col) == x).cast("long")).alias(f"n{i}") for i, x in enumerate(langs)))
-        smooth = [F.log((F.col(f"n{i}") + host_strength * share[x]) / (F.col("n") + host_strength)) for i, x in enumerate(langs)]
-        hosts = hosts.select("__host", F.array(*smooth).alias("__prior"))
+        each = known.where(F.col(host_col).isNotNull()).groupBy(F.col(host_col).alias("__host"), F.col(declared_col).alias("__lang")).agg(F.count(F.lit(1)).alias("n"))
+        each = each.join(F.broadcast(numbers), "__lang").groupBy("__host").agg(F.collect_list(F.struct(F.col("__i").alias("i"), "n")).alias("x"))
+        hosts = each.select("__host", F.col("x.i").alias("__which"), F.col("x.n").alias("__many"))
         if hosts.count() <= broadcast_hosts:
             hosts = F.broadcast(hosts)
         out = out.join(hosts, F.col(host_col) == F.col("__host"), "left").drop("__host")
-        prior = {x: F.coalesce(F.col("__prior")[i], prior[x]) for i, x in enumerate(langs)}
-    score = [F.col("__text")[i] + prior[x] + said(declared_col, x) + (said(suffix_col, x) if suffix_col else 0.0) for i, x in enumerate(langs)]
-    best = F.array_max("__scores")
-    out = out.withColumn("__scores", F.array(*score))
-    sure = 1 / F.aggregate("__scores", F.lit(0.0), lambda a, s: a + F.exp(s - best))
-    out = out.withColumn("__confidence", F.when(F.col("__letters"), sure).otherwise(0.0))
+    schema = pa.schema([("lang", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+    for first in range(0, len(langs), shard):
+        part = langs[first : first + shard]
+        within = known.where(F.col(declared_col).between(part[0], part[-1])) if len(langs) > shard else known
+        counts = np.full((1 << bits, len(part)), 0.5)
+        counted = within.select(F.col(declared_col), F.col(text_col).cast("binary")).mapInArrow(_counted(bits, schema), "lang string, bin int, n long")
+        rows = counted.groupBy("lang", "bin").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list(F.struct("bin", "n")).alias("x")).select("lang", "x.bin", "x.n")
+        for r in rows.toLocalIterator():  # 2 ** bits numbers a language at most
+            counts[r.bin, part.index(r.lang)] += r.n
+        log_p = np.log(counts / counts.sum(0))
+        if first:
+            out = written(out)  # so that no task holds the tables of two shards
+        out = out.mapInArrow(_fused(bits, log_p, first, langs, shares, temper, trust, host_strength, columns), f"{fields}, __top double, __total double, __best int, __letters boolean")
+    out = out.withColumn("__confidence", F.when(F.col("__letters"), 1 / F.col("__total")).otherwise(0.0))
     rejected = F.col("__confidence") < confidence
-    language = F.element_at(F.array(*map(F.lit, langs)), F.array_position("__scores", best).cast("int"))
-    out = out.withColumns({"__language": F.when(~rejected, language), "__rejected": rejected})
+    names = F.broadcast(numbers.withColumnRenamed("__i", "__best"))
+    out = out.join(names, "__best").withColumns({"__language": F.when(~rejected, F.col("__lang")), "__rejected": rejected})
     return out.select(*docs.columns, "__language", "__confidence", "__rejected")

@@ -212,6 +212,20 @@ def test_languages(spark, empty):
     assert sum(got[i]["__language"] == "en" for i in range(40)) == 40 and identify_languages(empty).count() == 0
 
 
+def test_rare_languages(spark):
+    # 3 documents in 5000 declare "cy"; "more" are 89 languages of one document each
+    rare = ["mae", "yn", "ac", "ty"]
+    more = [f"{a}{b}" for a in "abcdefghi" for b in "klmnopqrst" if a + b != "en"]
+    rows = [(i, " ".join(RANDOM.choices(["the", "and", "of", "house"], k=30)), "en", "a") for i in range(5000)]
+    rows += [(9000 + i, " ".join(RANDOM.choices(rare, k=60)), "cy", "a") for i in range(3)]
+    rows += [(9100 + i, f"{x}{x[::-1]}q {x}w{x}z " * 20, x, "b") for i, x in enumerate(more)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = {9000 + i: "cy" for i in range(3)} | {9100 + i: x for i, x in enumerate(more)}
+    one, many = ({r.doc_id: (r["__language"], round(r["__confidence"], 6)) for r in identify_languages(df, shard=n).collect()} for n in (512, 40))
+    assert {i: one[i][0] for i in want} == want and sum(one[i][0] == "en" for i in range(5000)) == 5000
+    assert one == many
+
+
 def test_quality(spark, empty):
     rows = [(i, " ".join(RANDOM.choices(["good", "fine", "bad###"] if i % 3 == 1 else ["good", "fine"] if i % 3 == 2 else ["bad###", "###"], k=40)), i % 3) for i in range(240)]
     df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(999, None)], "doc_id long, text string")
