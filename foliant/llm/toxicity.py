@@ -3,8 +3,10 @@
 A character trigram model is counted over all documents. Tokens that look written over
 (look-alike signs, repeated letters, separators between letters) and runs of single letters
 become lattices: look-alikes stand for one of their letters, runs for one or two letters,
-separators for nothing. Viterbi decoding picks the path likeliest under channel and language
-model, and the restored words are scored.
+separators for nothing or, in a second reading, for a word break where that is likelier.
+Viterbi decoding picks the path likeliest under channel and language model, and the restored
+words are scored. A run of single letters does not show where its words begin, so wherever one
+of four letters or more that the weights hold begins in it, that counts too.
 
 The score is a naive Bayes sum over the distinct tokens: each adds the largest log likelihood
 ratio among its restored word and that word's beginnings, where the labelled sample shows
@@ -33,9 +35,21 @@ from pyspark.sql import functions as F
 #: Signs and the letters they are written for.
 LOOK_ALIKES = {"4": "a", "@": "a", "8": "b", "3": "e", "6": "g", "9": "g", "1": "il", "!": "il", "|": "il", "0": "o", "5": "s", "$": "s", "7": "t", "+": "t", "2": "z"}
 _SYMBOLS = 28  # boundary, a-z, any other letter
-_SPACED = re.compile(r"(?<![\w@$!|+])[\w@$!|+](?:[\s.\-_*~/,]{1,2}[\w@$!|+]){3,}(?![\w@$|+])")
+_SPACED = re.compile(r"(?<![\w@$!|+])[\w@$!|+](?:[\s.\-_*~/,]{1,2}[\w@$!|+]){2,}(?![\w@$|+])")
+_SEPARATOR = re.compile(r"[\s.\-_*~/,]")
 _EDGE = ".,;:?\"'()[]{}<>#%&*=~^`/\\-_…«»¿¡"
-_ODD = re.compile(r"[^\W\d_](?:.*[^\W_])?.*[0-9@$!|+.\-_*~]|[0-9@$!|+].*[^\W\d_]|([^\W\d_])\1\1")
+_LETTER, _SIGN, _LIKE, _THRICE = (re.compile(x) for x in (r"[^\W\d_]", r"[0-9@$!|+.\-_*~]", r"[0-9@$!|+]", r"([^\W\d_])\1\1"))
+
+
+def _odd(token: str) -> bool:
+    """A sign after a letter, a look-alike before one, or a letter thrice; linear in the length."""
+    if not token.isalpha() and (first := _LETTER.search(token)):
+        if _SIGN.search(token, first.end()):
+            return True
+        if (like := _LIKE.search(token)) and _LETTER.search(token, like.end()):
+            return True
+    return bool(_THRICE.search(token))
+
 
 #: Classes of bytes for a quick test whether single letters follow each other at all.
 _CLASS = bytes(0x61 if chr(c).isalnum() and c < 0x80 or c >= 0xC0 or chr(c) in "@$!|+" else 0x20 if chr(c) in " \t\n\r\v\f.-_*~/," else 0x23 for c in range(256))
@@ -43,7 +57,7 @@ _CONTINUED = bytes(range(0x80, 0xC0))
 
 
 def _may_be_spaced(text: str) -> bool:
-    return b"a a a a" in text.encode().translate(_CLASS, _CONTINUED).replace(b"  ", b" ")
+    return b"a a a" in text.encode().translate(_CLASS, _CONTINUED).replace(b"  ", b" ")
 
 
 _CODE = np.zeros(256, np.int64)
@@ -86,8 +100,9 @@ class Restorer:
     def __init__(self, log_p: np.ndarray):
         self._p = log_p.tolist()
 
-    def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each run of a sign: what it may stand for, and the channel's log probability."""
+    def lattice(self, token: str, breaks: bool = False) -> list[list[tuple[str, float]]]:
+        """For each run of a sign: what it may stand for, and the channel's log probability.
+        With ``breaks`` a separator may also stand for a space."""
         out = []
         for m in re.finditer(r"(.)\1*", token, re.S):
             c, n = m[1], len(m[0])
@@ -97,25 +112,30 @@ class Restorer:
             elif c.isalpha():
                 ways = [(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, -1.0)] if n == 2 else [(c, -0.5), (c * 2, -1.5)]
             else:
-                ways = [("", -0.1)]
+                ways = [("", -0.1), (" ", -0.1)] if breaks and _SEPARATOR.match(c) else [("", -0.1)]
             out.append(ways)
         return out
 
-    def __call__(self, token: str) -> str:
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for ways in self.lattice(token):
-            ahead: dict[tuple[int, int], tuple[float, str]] = {}
+    def __call__(self, token: str, breaks: bool = False) -> str:
+        # texts are linked lists: a token may be as long as its document
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for ways in self.lattice(token, breaks):
+            ahead: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, text) in paths.items():
                 for letters, cost in ways:
                     x, y, s = a, b, score + cost
                     for c in letters:
-                        z = _symbol(c)
+                        z = 0 if c == " " else _symbol(c)
                         s += self._p[x][y][z]
                         x, y = y, z
                     if (x, y) not in ahead or s > ahead[x, y][0]:
-                        ahead[x, y] = (s, text + letters)
+                        ahead[x, y] = (s, (text, letters) if letters else text)
             paths = ahead
-        return max((s + self._p[a][b][0], t) for (a, b), (s, t) in paths.items())[1]
+        text, out = max(((s + self._p[a][b][0], t) for (a, b), (s, t) in paths.items()), key=lambda x: x[0])[1], []
+        while text:
+            text, letters = text
+            out.append(letters)
+        return "".join(reversed(out))
 
 
 class Words:
@@ -124,23 +144,34 @@ class Words:
 
     def __init__(self, log_p: np.ndarray, wanted: dict[str, float] | None = None, cache: int = 200_000):
         self._restore, self._wanted, self._size = Restorer(log_p), wanted, cache
+        self._longest = max(map(len, wanted or ()), default=1) - 1  # without the mark
         self._kept: dict[str, tuple[str, ...] | float | None] = {}
 
     def _of(self, token: str) -> tuple[str, ...] | float | None:
-        words = {token.strip(_EDGE + "!|+0123456789@$")}
-        core = token.strip(_EDGE).rstrip("!")
-        if 3 <= len(core) <= 64 and _ODD.search(core):
+        run = token[0] == " "  # see tokens
+        whole = token.replace(" ", "")
+        words = {whole.strip(_EDGE + "!|+0123456789@$")}
+        core = whole.strip(_EDGE).rstrip("!")
+        if len(core) >= 3 and _odd(core):
             words.add(self._restore(core))
+        joined = words.copy() if run else set()
+        core = token.strip(_EDGE + " ").rstrip("!")
+        if len(core) >= 3 and _SEPARATOR.search(core) and (run or _odd(core)):
+            words.update(self._restore(core, True).split())
         found = {f for w in words if len(w) > 2 for f in (f"={w}", *(f"^{w[:n]}" for n in (4, 5) if len(w) > n))}
         if self._wanted is None:
             return tuple(found)
+        found |= {f for w in joined for i in range(1, len(w)) for n in range(4, min(self._longest, len(w) - i) + 1) for f in (f"={w[i : i + n]}", f"^{w[i : i + n]}") if f in self._wanted}
+        found |= {f for w in joined for n in range(4, min(self._longest, len(w)) + 1) if (f := f"={w[:n]}") in self._wanted}
         return max((self._wanted[f] for f in found if f in self._wanted), default=None)
 
     def tokens(self, text: str) -> set[str]:
+        """Tokens between white space, and runs of single letters: a space and the letters
+        with a space for each separator."""
         text = text.lower()
         tokens = set(text.split())
         if _may_be_spaced(text):
-            tokens |= {re.sub(r"[\s.\-_*~/,]", "", m) for m in _SPACED.findall(text)}
+            tokens |= {" " + _SEPARATOR.sub(" ", m) for m in _SPACED.findall(text)}
         return tokens
 
     def __call__(self, text: str) -> list:
@@ -151,7 +182,7 @@ class Words:
                 f = kept[t]
             else:
                 f = self._of(t)
-                if len(kept) < self._size:
+                if len(kept) < self._size and len(t) <= 256:
                     kept[t] = f
             if f:
                 out.append(f)

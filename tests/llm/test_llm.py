@@ -249,6 +249,19 @@ def test_toxicity(spark, empty):
     assert score_toxicity(empty, labels).count() == 0 and score_toxicity(df, labels.limit(0)).where("score >= 0.5").count() == 0
 
 
+def test_toxic_words_in_runs(spark):
+    # a short spaced word, words before and after the spaced one, long tokens
+    clean = lambda: text(30)
+    hidden = ["what a m o r o n", "y o u i d i o t", "y o u i d i o t s t o p", "a m.o.r.0.n", "z o b", "i" + "d" * 80 + "iot", "-".join(["abcdefgh"] * 8 + ["moron"] + ["hgfe"] * 3)]
+    rows = [(i, f"{clean()} {RANDOM.choice(['idiot', 'moron', 'zob'])} {clean()}" if i % 10 == 0 else clean()) for i in range(600)]
+    rows += [(1000 + i, f"{clean()} {t} {clean()}") for i, t in enumerate(hidden)] + [(1100, f"{clean()} a b c d e f {clean()}"), (1101, f"{clean()} {'a b c ' * 3000}"), (1102, "ab-" * 20000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(600)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in score_toxicity(df, labels, shrink=2.0, margin=1.0).collect()}
+    assert [t for i, t in enumerate(hidden) if got[1000 + i] < 0.5] == []
+    assert all(got[i] < 0.5 for i in (1100, 1101, 1102))
+
+
 def test_licenses(docs, empty):
     a, b = list("abcdxe"), list("abqcde")
     pairs = align([x.encode() for x in a], [x.encode() for x in b])
