@@ -84,8 +84,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from foliant.llm.suffix_dedup import repeated_spans
 
-    found = repeated_spans(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    found = repeated_spans(table(spark, sf_dir, "documents"), passage=200)
+    spans, passages = (F.size(c).cast("long").alias(f"n_{c}") for c in ("spans", "passages"))
+    return found.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256", "n_passage", passages)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,32 +1,41 @@
 """Operator 10: removal of repeated byte strings by a distributed merge sort of suffixes.
 
 A byte goes if a ``size``-byte string that covers it also starts somewhere else. The strings
-are suffixes cut at ``size`` bytes, and equal ones are neighbours in sorted order:
-
-1. Every suffix is anchored at the least hashed gram inside it. Equal suffixes have equal
-   anchors at equal offsets, so suffixes whose anchor occurs once are unique and drop out.
-   Anchors whose whole context (all bytes that their suffixes can hold) is equal collapse
-   into one with a count; suffixes of a context that occurs twice are repeats.
-2. The suffixes left, those where different contexts share an anchor, are sorted in runs by
-   the tasks that read them. Runs are front-coded (length of the common prefix with the
-   entry before, then the rest) and exchanged by ranges of a bounded sample of keys.
-3. Each range is merged by a loser tree that carries common prefix lengths: entries compare
+are suffixes cut at ``size`` bytes, and equal ones are neighbours in sorted order. Several
+sizes (levels) are answered at once:
+
+1. Every suffix is anchored at the least hashed gram inside its first bytes (as many as the
+   least size). Equal suffixes have equal anchors at equal offsets, so suffixes whose anchor
+   occurs once are unique and drop out. Anchors whose whole context (all bytes that their
+   suffixes can hold) is equal collapse into one with a count; suffixes of a context that
+   occurs twice are repeats.
+2. Where different contexts share an anchor, the suffixes are taken in blocks of neighbours
+   and the same is done again: a block whose core (what all its strings hold) occurs once is
+   unique, and blocks that are equal as a whole collapse.
+3. The suffixes left, those at the edges of what is shared, are sorted in runs by the tasks
+   that read them. Runs are front-coded (length of the common prefix with the entry before,
+   then the rest) and exchanged by ranges of a bounded sample of keys.
+4. Each range is merged by a loser tree that carries common prefix lengths: entries compare
    only beyond what both share with the last winner. Entries whose common prefix is the
    whole key are one string; its occurrences are counted.
 
 A key is the first ``head`` bytes of the suffix and a 96-bit hash of all of it, so a whole
 key stands for the whole string and the exchange stays small. A run carries an entry once,
-with its count, however often it occurs in the run.
+with its count, however often it occurs in the run. No step gathers the holders of one
+string in one task: counts are combined before they are exchanged, joins deal out frequent
+keys, and ranges are cut at whole keys.
+
+A passage is a maximal repeated run at the least size that has more than ``words`` words
+(those it cuts included) or at least ``size`` bytes.
 
 Defined results: null text is empty; texts shorter than ``size`` keep all bytes. Repeated
 rows count as occurrences elsewhere. Null ids are kept. An empty table gives no rows. Other
-columns are not read (they are passed on by ``remove_repeats``).
+columns are not read (they are passed on by ``remove_repeats``, whatever their names).
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,9 +62,11 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(cur[:m], cur[w - n : w - n + m])
 
 
-def anchors(text: bytes, size: int, w: int) -> dict[str, np.ndarray]:
-    """Anchors of a text's suffixes: gram and context hashes, position, first and last suffix."""
+def anchors(text: bytes, sizes: tuple[int, ...], w: int) -> dict[str, np.ndarray]:
+    """Anchors of a text's suffixes: hash of the gram, position, first and last suffix, and for
+    each size a hash of the context (0: no suffix is that long)."""
     values = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)
+    size = sizes[0]
     n, k = len(text), size - w + 1
     prefix, at, first, grams = Prefix(values), [], [], []
     for a in range(0, n - size + 1, _SEGMENT):
@@ -70,26 +81,32 @@ def anchors(text: bytes, size: int, w: int) -> dict[str, np.ndarray]:
     p, lo, gram = np.concatenate(at), np.concatenate(first), np.concatenate(grams)
     new = np.concatenate([[True], p[1:] != p[:-1]])  # one anchor may serve both sides of a segment's end
     p, lo, gram = p[new], lo[new], gram[new]
-    hi = np.concatenate([lo[1:] - 1, [n - size]])
-    left, right = np.maximum(p - (w - 1), 0), np.minimum(p + k + w - 1, n)
-    edges = ((p - left) * (1 << 20) + (right - p)).astype(np.uint64)
-    return {"gram": gram.view(np.int64), "context": mix(prefix(left, right) ^ mix(edges)).view(np.int64), "p": p, "lo": lo, "hi": hi}
+    out = {"gram": gram.view(np.int64), "p": p, "lo": lo, "hi": np.concatenate([lo[1:] - 1, [n - size]]), "n": np.full(len(p), n)}
+    left = np.maximum(p - (w - 1), 0)
+    for i, t in enumerate(sizes):
+        right = np.minimum(p + k + w - 1 + t - size, n)
+        edges = ((p - left) * (1 << 20) + (right - p)).astype(np.uint64)
+        context = mix(prefix(left, right) ^ mix(edges)) | np.uint64(1)
+        out[f"c{i}"] = np.where(lo + t <= n, context, np.uint64(0)).view(np.int64)
+    return out
+
 
+def _anchored(sizes: tuple[int, ...], w: int, schema: pa.Schema):
+    names = schema.names[1:]
 
-def _anchored(size: int, w: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for at in range(0, len(batch), 64):
-                found = [anchors(t, size, w) for t in texts.slice(at, 64).to_pylist()]
+                found = [anchors(t, sizes, w) for t in texts.slice(at, 64).to_pylist()]
                 which = np.repeat(np.arange(at, at + len(found)), [len(x["p"]) for x in found])
-                columns = [pa.array(np.concatenate([x[c] for x in found])).cast(pa.int64()) for c in ("gram", "context", "p", "lo", "hi")]
+                columns = [pa.array(np.concatenate([x[c] for x in found])).cast(pa.int64()) for c in names]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(which)), *columns], schema=schema)
 
     return run
 
 
-def _bodies(size: int, schema: pa.Schema):
+def _bodies(schema: pa.Schema):
     """Cut each context out of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,12 +115,54 @@ def _bodies(size: int, schema: pa.Schema):
                 rows = []
                 for r in batch.slice(at, 128).to_pylist():
                     for c in r["contexts"]:
-                        rows.append((r["h"], c["p"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + size]))
+                        rows.append((r["h"], c["t"], c["p"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + c["t"]]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t.type) for j, t in enumerate(schema)], schema=schema)
 
     return run
 
 
+def _ints(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _joined(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all bodies one after another, and where each begins."""
+    found = bodies.to_pylist()
+    return np.frombuffer(b"".join(found), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)[:-1]
+
+
+def _each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts of entries: the owner of each entry and its number in the owner."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _blocks(block: int, schema: pa.Schema):
+    """The suffixes of each body in blocks, numbered from the anchor: hashes of core and whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                t, p, back, n = (_ints(batch, c) for c in ("t", "p", "back", "n"))
+                raw, base = _joined(batch.column("body"))
+                hashed = Prefix(raw.astype(np.uint64) + np.uint64(1))
+                lowest = -back // block
+                which, j = _each((n - 1 - back) // block - lowest + 1)
+                j = j + lowest[which]
+                t, p, back, n, base = (x[which] for x in (t, p, back, n, base))
+                x, y = np.maximum(back + j * block, 0), np.minimum(back + (j + 1) * block - 1, n - 1)
+                place = mix((j + (1 << 20)).astype(np.uint64))
+                core = mix(hashed(base + back + (j + 1) * block - 1, base + back + j * block + t) ^ place)
+                edges = ((x - back + (1 << 20)) * (1 << 22) + y - back + (1 << 20)).astype(np.uint64)
+                all_ = mix(hashed(base + x, base + y + t) ^ mix(edges))
+                rows = pa.array(which)
+                columns = {"core": core.view(np.int64), "whole": all_.view(np.int64), "j": j, "lo": p - back + x, "hi": p - back + y}
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name]) if f.name in columns else batch.column(f.name).take(rows) for f in schema], schema=schema)
+
+    return run
+
+
 def front_code(keys: np.ndarray) -> tuple[np.ndarray, bytes]:
     """(common prefix with the key before, the keys' remaining bytes) of sorted byte rows."""
     n, width = keys.shape
@@ -135,15 +194,49 @@ def sorted_run(keys: np.ndarray, counts: np.ndarray, refs: np.ndarray) -> tuple[
     return keys[first], np.minimum(total, 2), refs[first], done
 
 
-def _runs(size: int, head: int, splitters: list[bytes], limit: int, schema: pa.Schema):
+def _keys(batch: pa.RecordBatch, block: int, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, counts and references of the suffixes in the open blocks of the bodies."""
+    t, back, n, ids = (_ints(batch, c) for c in ("t", "back", "n", "id"))
+    raw, base = _joined(batch.column("body"))
+    blocks = batch.column("blocks").to_pylist()
+    which = np.repeat(np.arange(len(batch)), [len(x) for x in blocks])
+    j = np.array([b["j"] for x in blocks for b in x], np.int64)
+    many = np.array([b["many"] for x in blocks for b in x], bool)
+    x, y = np.maximum(back[which] + j * block, 0), np.minimum(back[which] + (j + 1) * block - 1, n[which] - 1)
+    owner, k = _each(y - x + 1)
+    at, which = x[owner] + k, which[owner]
+    starts, ends = base[which] + at, base[which] + at + t[which]
+    values = raw.astype(np.uint64) + np.uint64(1)
+    level = mix(t[which].astype(np.uint64))  # strings of different sizes never meet
+    hashes = np.stack([Prefix(values)(starts, ends) ^ level, Prefix(mix(values))(starts, ends)], 1)
+    keys = np.hstack([np.lib.stride_tricks.sliding_window_view(raw, head)[starts], np.ascontiguousarray(hashes).view(np.uint8)[:, :_HASH]])
+    refs = np.empty(len(at), _REF)
+    refs["id"], refs["offset"] = ids[which], back[which] - at
+    return keys, np.where(many[owner], 2, 1), refs
+
+
+def _first_keys(block: int, head: int):
+    """The key of the first suffix in each open block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                keys, _, _ = _keys(batch.slice(at, 256), block, head)
+                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys[::block]], pa.binary())], ["key"])
+
+    return run
+
+
+def _runs(block: int, head: int, splitters: list[bytes], limit: int, schema: pa.Schema):
     """Sort suffixes in runs and deal their front-coded parts out by ranges of keys."""
 
     press = zstandard.compress
 
     def flush(parts: list[tuple]) -> Iterator[tuple]:
         keys, counts, refs, done = sorted_run(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        heads = [k.tobytes() for k in keys[:, : len(splitters[0])]] if splitters else []
-        side = np.array([bisect_right(splitters, x) for x in heads]) if splitters else np.zeros(len(keys), int)
+        width = keys.shape[1]
+        edges = np.array(splitters, f"S{width}") if splitters else np.empty(0, f"S{width}")
+        side = np.searchsorted(edges, np.ascontiguousarray(keys).view(f"S{width}").ravel(), side="right")
         cut = np.concatenate([[0], np.flatnonzero(side[1:] != side[:-1]) + 1, [len(keys)]])
         for j, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
             lcp, rest = front_code(keys[a:b])
@@ -155,22 +248,14 @@ def _runs(size: int, head: int, splitters: list[bytes], limit: int, schema: pa.S
         for batch in batches:
             for at in range(0, len(batch), 256):
                 rows: list[tuple] = []
-                for r in batch.slice(at, 256).to_pylist():
-                    body, n = r["body"], r["n"]
-                    raw = np.frombuffer(body, np.uint8)
-                    values = raw.astype(np.uint64) + np.uint64(1)
-                    hashes = np.stack([Prefix(values).windows(size), Prefix(mix(values)).windows(size)], 1)
-                    keys = np.hstack([np.lib.stride_tricks.sliding_window_view(raw, head)[:n], np.ascontiguousarray(hashes).view(np.uint8)[:n, :_HASH]])
-                    refs = np.empty(n, _REF)
-                    refs["id"], refs["offset"] = r["id"], r["back"] - np.arange(n)
-                    parts.append((keys, np.full(n, 2 if r["many"] else 1), refs))
-                    held += n
-                    if held >= limit:
-                        rows += flush(parts)
-                        parts, held = [], 0
+                parts.append(_keys(batch.slice(at, 256), block, head))
+                held += len(parts[-1][1])
+                if held >= limit:
+                    rows += flush(parts)
+                    parts, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], t.type) for j, t in enumerate(schema)], schema=schema)
-        if parts:
+        if held:
             rows = list(flush(parts))
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], t.type) for j, t in enumerate(schema)], schema=schema)
 
@@ -287,39 +372,58 @@ def _merged(width: int, schema: pa.Schema):
     return run
 
 
-def _removed(size: int, with_text: bool, schema: pa.Schema):
+def _spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of the ranges' bytes."""
+    spans: list[tuple[int, int]] = []
+    for b, e in sorted(ranges):
+        if spans and b <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
+        else:
+            spans.append((b, e))
+    return spans
+
+
+def _removed(sizes: tuple[int, ...], words: int | None, cut: str, schema: pa.Schema):
+    """Spans of the last size and, if words are given, passages of the first; with ``cut``
+    ("spans" or "passages") the text without those."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 128):
-                out: list[list] = [[] for _ in schema]
+                out: dict[str, list] = {f.name: [] for f in schema}
                 for r in batch.slice(at, 128).to_pylist():
                     text = r["text"]
-                    ranges = [(x["s"], x["e"]) for x in r["whole"] or ()]
-                    ranges += [(x["p"] - o, x["p"] - o + size) for x in r["single"] or () for o in x["offsets"]]
-                    spans = []
-                    for b, e in sorted(ranges):
-                        if spans and b <= spans[-1][1]:
-                            spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
-                        else:
-                            spans.append((b, e))
+                    found = {}
+                    for t in sizes:
+                        ranges = [(x["lo"], x["hi"] + t) for x in r["whole"] or () if x["t"] == t]
+                        ranges += [(x["p"] - o, x["p"] - o + t) for x in r["single"] or () if x["t"] == t for o in x["offsets"]]
+                        found[t] = _spans(ranges)
+                    chosen = {"spans": found[sizes[-1]]}
+                    if words is not None:
+                        chosen["passages"] = [(b, e) for b, e in found[sizes[0]] if e - b >= sizes[-1] or len(text[b:e].split()) > words]
                     kept, last = [], 0
-                    for b, e in spans:
+                    for b, e in chosen[cut]:
                         kept.append(text[last:b])
                         last = e
                     kept = b"".join([*kept, text[last:]])
-                    values = (r["h"], sum(e - b for b, e in spans), [{"start": b, "end": e} for b, e in spans], hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None)
-                    for column, v in zip(out, values[: 4 + with_text], strict=True):
-                        column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema, strict=True)], schema=schema)
+                    row = {k: [{"start": b, "end": e} for b, e in v] for k, v in chosen.items()} | {"h": r["h"], "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
+                    for name, column in out.items():
+                        column.append(row[name].decode("utf-8", "ignore") if name == "kept" else row[name])
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
 
 
-def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sample: int, broadcast_rows: int, with_text: bool) -> DataFrame:
+_SPAN = "array<struct<start: long, end: long>>"
+_SPAN_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: str, w: int, block: int, head: int, run_rows: int, range_rows: int, sample: int, broadcast_rows: int, with_text: bool) -> DataFrame:
     """For each distinct text (h, text) in which something repeats: what goes."""
     spark = rows.sparkSession
+    block, head = max(1, min(block, sizes[0] // 2)), min(head, sizes[0])
     ints = lambda *names: [(n, pa.int64()) for n in names]
-    long = rows.where(F.octet_length("text") >= size)
+    long = rows.where(F.octet_length("text") >= sizes[0])
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """The distinct texts that wanted (h, ...) names, with its other columns."""
@@ -328,79 +432,103 @@ def _repeats(rows: DataFrame, size: int, w: int, head: int, run_rows: int, sampl
             keys = F.broadcast(keys)
         return long.join(keys, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h")
 
-    def meet(rows: DataFrame, grams: DataFrame, by: str) -> DataFrame:
-        """The rows whose gram is in grams (gram, n: rows that hold it). Fewer than 1000 grams
+    def meet(rows: DataFrame, groups: DataFrame, on: list[str], by: str) -> DataFrame:
+        """The rows whose key is in groups (key, n: rows that hold it). Fewer than 1000 keys
         can have more than a thousandth of the rows; these meet theirs in as many places as
         there are shuffle partitions."""
-        total = grams.agg(F.sum("n")).first()[0] or 0
-        hot = [r.gram for r in grams.where(F.col("n") * 1000 > total).select("gram").collect()]
+        total = groups.agg(F.sum("n")).first()[0] or 0
+        hot = [r.k for r in groups.where(F.col("n") * 1000 > total).select(F.xxhash64(*on).alias("k")).collect()]
         spread = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        is_hot = F.col("gram").isin(hot) if hot else F.lit(False)
+        is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
         dealt = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64(by), spread)).otherwise(0).cast("int"))
-        places = grams.select("gram", F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
-        return dealt.join(places.hint("merge"), ["gram", "salt"], "left_semi").drop("salt")
-
-    schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
-    anchored = long.select("h", "text").mapInArrow(_anchored(size, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
+        places = groups.select(*on, F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
+        return dealt.join(places.hint("merge"), [*on, "salt"], "left_semi").drop("salt")
+
+    def settle(rows: DataFrame, part: str, whole: str, place: list[str], by: str) -> tuple[DataFrame, DataFrame]:
+        """Of rows (t, part, whole, many, place): the rows whose whole occurs again, and one
+        for each of the wholes that share their part with another (many: it occurs again)."""
+        stand = F.min(F.struct(*place)).alias("x")
+        wholes = written(rows.groupBy("t", part, whole).agg(stand, F.count(F.lit(1)).alias("n"), F.max("many").alias("many")))
+        several = written(wholes.groupBy("t", part).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        left = meet(wholes, several, ["t", part], whole).select("t", "x.*", (F.col("many") | (F.col("n") > 1)).alias("many"))
+        again = meet(rows, wholes.where("n > 1"), ["t", part, whole], by)
+        return again, left
+
+    context = [f"c{i}" for i in range(len(sizes))]
+    schema = pa.schema([("h", pa.binary()), *ints("gram", "p", "lo", "hi", "n", *context)])
+    anchored = long.select("h", "text").mapInArrow(_anchored(sizes, w, schema), ", ".join(f"{f.name} {'binary' if f.name == 'h' else 'long'}" for f in schema))
     grams = written(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = written(meet(anchored, grams, "h"))
-
-    # the first member of a context stands for it
-    stand = F.min(F.struct("h", "p", "lo", "hi")).alias("x")
-    contexts = written(members.groupBy("gram", "context").agg(stand, F.count(F.lit(1)).alias("n")))
-    several = written(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    open_ = meet(contexts, several, "context")
-    of_text = written(open_.groupBy("x.h").agg(F.collect_list(F.struct((F.col("n") > 1).alias("many"), "x.p", "x.lo", "x.hi")).alias("contexts")))
-    body = pa.schema([("h", pa.binary()), ("p", pa.int64()), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
-    cut = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(size, body), "h binary, p long, many boolean, back long, n long, body binary")
-    bodies = written(cut.withColumn("id", F.monotonically_increasing_id()))
-    # balances the ranges only; every suffix is sorted
-    drawn = sorted(bytes(r.b) for r in bodies.select(F.substring("body", 1, 16).alias("b")).orderBy(F.xxhash64("id")).limit(sample).collect())
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    splitters = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if len(drawn) >= ranges else []
+    members = written(meet(anchored, grams, ["gram"], "h"))
+    levels = F.explode(F.array(*(F.struct(F.lit(t).cast("long").alias("t"), F.col(c).alias("context")) for t, c in zip(sizes, context, strict=True))))
+    members = members.select("h", "gram", "p", "lo", "hi", "n", levels.alias("level")).select("h", "gram", "p", "lo", F.least("hi", F.col("n") - F.col("level.t")).alias("hi"), "level.*", F.lit(False).alias("many")).where("context <> 0")
+    again, left = settle(members, "gram", "context", ["h", "p", "lo", "hi"], "h")
+
+    of_text = written(left.groupBy("h").agg(F.collect_list(F.struct("t", "many", "p", "lo", "hi")).alias("contexts")))
+    body = pa.schema([("h", pa.binary()), *ints("t", "p"), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
+    bodies = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(body), "h binary, t long, p long, many boolean, back long, n long, body binary")
+    bodies = written(bodies.withColumn("id", F.monotonically_increasing_id()))
+    schema = pa.schema([("id", pa.int64()), ("h", pa.binary()), ("t", pa.int64()), ("many", pa.bool_()), *ints("core", "whole", "j", "lo", "hi")])
+    blocks = written(bodies.select("id", "h", "t", "many", "p", "back", "n", "body").mapInArrow(_blocks(block, schema), "id long, h binary, t long, many boolean, core long, whole long, j long, lo long, hi long"))
+    again_block, left = settle(blocks, "core", "whole", ["id", "j"], "id")
+
+    open_ = bodies.join(left.groupBy("id").agg(F.collect_list(F.struct("j", "many")).alias("blocks")), "id").select("id", "t", "back", "n", "body", "blocks")
+    open_ = written(open_)
+    # samples and sizes balance the ranges only; every open suffix is sorted
+    total = open_.agg(F.sum(F.size("blocks"))).first()[0] or 0
+    ranges = max(1, total * block // range_rows)
+    drawn = open_.orderBy(F.xxhash64("id")).limit(max(sample, 8 * ranges)) if total else open_
+    drawn = sorted({bytes(r.key) for r in drawn.mapInArrow(_first_keys(block, head), "key binary").collect()}) if ranges > 1 else []
+    splitters = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if len(drawn) >= ranges else drawn
     runs = pa.schema([("range", pa.int32()), *((c, pa.binary()) for c in ("lcp", "rest", "counts", "refs", "done"))])
     settled = (
-        bodies.select("id", "many", "back", "n", "body")
-        .mapInArrow(_runs(size, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
+        open_.mapInArrow(_runs(block, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
         .groupBy("range")
         .applyInArrow(_merged(head + _HASH, pa.schema(ints("id", "offset"))), "id long, offset long")
         .groupBy("id")
         .agg(F.collect_set("offset").alias("offsets"))
     )
-    single = bodies.select("id", "h", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("p", "offsets")).alias("single"))
-    again = members.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
-    whole = again.select("h", "lo", "hi").distinct().groupBy("h").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + size).alias("e"))).alias("whole"))
+    single = bodies.select("id", "h", "t", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("t", "p", "offsets")).alias("single"))
+    whole = again.select("h", "t", "lo", "hi").union(again_block.select("h", "t", "lo", "hi")).distinct().groupBy("h").agg(F.collect_list(F.struct("t", "lo", "hi")).alias("whole"))
     found = texts_of(written(whole.join(single, "h", "full"))).select("h", "text", "whole", "single")
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    schema = pa.schema([("h", pa.binary()), ("n_removed", pa.int64()), ("spans", pa.list_(span)), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
-    return found.mapInArrow(_removed(size, with_text, schema), "h binary, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string" + ", kept string" * with_text)
+    names = ["spans"] + ["passages"] * (words is not None)
+    schema = pa.schema([("h", pa.binary()), *((n, _SPAN_ARROW) for n in names), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
+    return found.mapInArrow(_removed(sizes, words, cut, schema), "h binary, " + "".join(f"{n} {_SPAN}, " for n in names) + "kept_sha256 string" + ", kept string" * with_text)
 
 
-def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 400, w: int = 151, head: int = 24, run_rows: int = 200_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
-    """One row per document row: doc_id, n_bytes, n_removed, spans (byte ranges that go) and
-    kept_sha256 of what stays.
+def _length(spans: str) -> F.Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+
 
-    ``w``: suffixes per gram window (grams are size - w + 1 bytes). ``run_rows``: suffixes of
-    a run. ``sample``: keys drawn to balance the ranges of the exchange. ``broadcast_rows``: up
-    to so many 16-byte keys are broadcast to pick texts from the scan; more meet by a shuffle.
+def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 400, passage: int | None = None, words: int = 50, w: int = 151, block: int = 16, head: int = 24, run_rows: int = 500_000, range_rows: int = 500_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
+    """One row per document row: doc_id, n_bytes, n_removed, spans (byte ranges that go) and
+    kept_sha256 of what stays; with ``passage`` (bytes, less than ``size``) also passages, the
+    byte ranges of repeated runs of that many bytes with more than ``words`` words or ``size``
+    bytes, and n_passage, their bytes.
+
+    ``w``: suffixes per gram window (grams have w - 1 bytes less than the least size).
+    ``block``: suffixes of a block. ``run_rows``: suffixes of a run. ``range_rows``: suffixes
+    of a range of the exchange. ``sample``: open contexts drawn to balance the ranges (more for
+    more ranges). ``broadcast_rows``: up to so many 16-byte keys are broadcast to pick texts
+    from the scan; more meet by a shuffle.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), bytes_of(text_col).alias("text")).withColumn("h", F.unhex(F.md5("text")))
-    found = _repeats(rows.select("h", "text"), size, w, head, run_rows, sample, broadcast_rows, False)
+    sizes, count = ((passage, size), words) if passage else ((size,), None)
+    found = _repeats(rows.select("h", "text"), sizes, count, "spans", w, block, head, run_rows, range_rows, sample, broadcast_rows, False)
     each = rows.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
-    return each.join(found, "h", "left").select(
-        "doc_id",
-        "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>")).alias("spans"),
-        F.coalesce("kept_sha256", "own").alias("kept_sha256"),
-    )
-
-
-def remove_repeats(docs: DataFrame, *, text_col: str = "text", size: int = 400, w: int = 151, head: int = 24, run_rows: int = 200_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
-    """The documents, all columns, with repeated strings cut out of their texts. Where a cut
-    parts a character of several bytes, its rest goes too."""
-    rows = docs.withColumn("__text", bytes_of(text_col)).withColumn("__h", F.unhex(F.md5("__text")))
-    found = _repeats(rows.select(F.col("__h").alias("h"), F.col("__text").alias("text")), size, w, head, run_rows, sample, broadcast_rows, True)
-    kept = found.select(F.col("h").alias("__h"), F.col("kept").alias("__kept"))
-    joined = rows.join(kept, "__h", "left").withColumn(text_col, F.coalesce("__kept", F.col(text_col)))
-    return joined.select(*docs.columns)
+    none = F.array().cast(_SPAN)
+    full = each.join(found, "h", "left").withColumns({c: F.coalesce(c, none) for c in found.columns if c in ("spans", "passages")})
+    more = ["passages", _length("passages").alias("n_passage")] if passage else []
+    return full.select("doc_id", "n_bytes", _length("spans").alias("n_removed"), "spans", F.coalesce("kept_sha256", "own").alias("kept_sha256"), *more)
+
+
+def remove_repeats(docs: DataFrame, *, text_col: str = "text", size: int = 400, passage: int | None = None, words: int = 50, w: int = 151, block: int = 16, head: int = 24, run_rows: int = 500_000, range_rows: int = 500_000, sample: int = 20_000, broadcast_rows: int = 500_000) -> DataFrame:
+    """The documents, all columns, with repeated strings cut out of their texts: those of
+    ``size`` bytes or, with ``passage``, passages (runs of so many bytes with more than
+    ``words`` words or ``size`` bytes). Where a cut parts a character of several bytes, its
+    rest goes too. Rows whose texts are equal stay equal; null text stays null."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), bytes_of(text_col).alias("text")).withColumn("h", F.unhex(F.md5("text")))
+    sizes, count, cut = ((passage,), words, "passages") if passage else ((size,), None, "spans")
+    found = _repeats(whole.select("h", "text"), sizes, count, cut, w, block, head, run_rows, range_rows, sample, broadcast_rows, True)
+    joined = whole.select("row", "h").join(found.select("h", "kept"), "h", "left")
+    kept = F.coalesce("kept", F.col("row").getField(text_col))
+    return joined.select(*((kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns))
