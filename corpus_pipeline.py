@@ -42,8 +42,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated strings of 400 bytes are cut out of the texts; n_chars follows the text."""
-    cut = remove_repeats(docs)
+    """Repeated passages are cut out of the texts: runs of more than 50 words (200 bytes at
+    least, four a word) or of 400 bytes. n_chars follows the text; null text stays null."""
+    cut = remove_repeats(docs, passage=200, words=50)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
