@@ -44,6 +44,35 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one operator that go when they are no longer needed."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """``written``; then the files of the shuffles behind it may go, which Spark removes
+        once the driver has collected their objects."""
+        path = f"{shared_folder(self._spark)}/table-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = (out, path)
+        self._spark._jvm.System.gc()
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            _, path = self._paths.pop(id(t))
+            at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """Drop all but this table, which the caller's result reads."""
+        self._paths.pop(id(table))
+        self.drop(*(t for t, _ in list(self._paths.values())))
+        return table
+
+
 def bytes_of(column: str) -> F.Column:
     """Text as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -8,10 +8,10 @@ sizes (levels) are answered at once:
    least size). Equal suffixes have equal anchors at equal offsets, so suffixes whose anchor
    occurs once are unique and drop out. Anchors whose whole context (all bytes that their
    suffixes can hold) is equal collapse into one with a count; suffixes of a context that
-   occurs twice are repeats.
+   occurs twice are repeats at every size.
 2. Where different contexts share an anchor, the suffixes are taken in blocks of neighbours
-   and the same is done again: a block whose core (what all its strings hold) occurs once is
-   unique, and blocks that are equal as a whole collapse.
+   and the same is done again: a block whose core (what all its strings of a size hold) occurs
+   once is unique at that size and above, and blocks that are equal as a whole collapse.
 3. The suffixes left, those at the edges of what is shared, are sorted in runs by the tasks
    that read them. Runs are front-coded (length of the common prefix with the entry before,
    then the rest) and exchanged by ranges of a bounded sample of keys.
@@ -44,12 +44,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import bytes_of, written
+from foliant.llm.common import Scratch, bytes_of
 from foliant.llm.hashing import Prefix, mix
 
 _SEGMENT = 1 << 20  # suffixes of a text that are anchored at once
 _INDEX = np.uint64((1 << 22) - 1)
-_REF = np.dtype([("id", "<i8"), ("offset", "<i2")])
+_REF = np.dtype([("id", "<i8"), ("offset", "<i4")])
+_LEVELS = 4  # sizes that a reference can tell apart
 _HASH = 12  # bytes of a key that stand for the whole suffix
 
 
@@ -63,8 +64,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(text: bytes, sizes: tuple[int, ...], w: int) -> dict[str, np.ndarray]:
-    """Anchors of a text's suffixes: hash of the gram, position, first and last suffix, and for
-    each size a hash of the context (0: no suffix is that long)."""
+    """Anchors of a text's suffixes: hashes of gram and context, position, first and last suffix."""
     values = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)
     size = sizes[0]
     n, k = len(text), size - w + 1
@@ -81,14 +81,11 @@ def anchors(text: bytes, sizes: tuple[int, ...], w: int) -> dict[str, np.ndarray
     p, lo, gram = np.concatenate(at), np.concatenate(first), np.concatenate(grams)
     new = np.concatenate([[True], p[1:] != p[:-1]])  # one anchor may serve both sides of a segment's end
     p, lo, gram = p[new], lo[new], gram[new]
-    out = {"gram": gram.view(np.int64), "p": p, "lo": lo, "hi": np.concatenate([lo[1:] - 1, [n - size]]), "n": np.full(len(p), n)}
-    left = np.maximum(p - (w - 1), 0)
-    for i, t in enumerate(sizes):
-        right = np.minimum(p + k + w - 1 + t - size, n)
-        edges = ((p - left) * (1 << 20) + (right - p)).astype(np.uint64)
-        context = mix(prefix(left, right) ^ mix(edges)) | np.uint64(1)
-        out[f"c{i}"] = np.where(lo + t <= n, context, np.uint64(0)).view(np.int64)
-    return out
+    # the longest size's context decides all sizes; near a text's end it is cut
+    left, right = np.maximum(p - (w - 1), 0), np.minimum(p + k + w - 1 + sizes[-1] - size, n)
+    edges = ((p - left) * (1 << 20) + (right - p)).astype(np.uint64)
+    context = mix(prefix(left, right) ^ mix(edges))
+    return {"gram": gram.view(np.int64), "context": context.view(np.int64), "p": p, "lo": lo, "hi": np.concatenate([lo[1:] - 1, [n - size]])}
 
 
 def _anchored(sizes: tuple[int, ...], w: int, schema: pa.Schema):
@@ -106,7 +103,7 @@ def _anchored(sizes: tuple[int, ...], w: int, schema: pa.Schema):
     return run
 
 
-def _bodies(schema: pa.Schema):
+def _bodies(most: int, schema: pa.Schema):
     """Cut each context out of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +112,7 @@ def _bodies(schema: pa.Schema):
                 rows = []
                 for r in batch.slice(at, 128).to_pylist():
                     for c in r["contexts"]:
-                        rows.append((r["h"], c["t"], c["p"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + c["t"]]))
+                        rows.append((r["h"], c["p"], c["many"], c["p"] - c["lo"], c["hi"] - c["lo"] + 1, r["text"][c["lo"] : c["hi"] + most]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t.type) for j, t in enumerate(schema)], schema=schema)
 
     return run
@@ -125,10 +122,11 @@ def _ints(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _joined(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all bodies one after another, and where each begins."""
+def _joined(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all bodies one after another, where each begins, and their lengths."""
     found = bodies.to_pylist()
-    return np.frombuffer(b"".join(found), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)[:-1]
+    sizes = np.array([len(x) for x in found], np.int64)
+    return np.frombuffer(b"".join(found), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
 def _each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,28 +135,34 @@ def _each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _blocks(block: int, schema: pa.Schema):
-    """The suffixes of each body in blocks, numbered from the anchor: hashes of core and whole."""
+def _blocks(sizes: tuple[int, ...], block: int, schema: pa.Schema):
+    """The suffixes of each body in blocks, numbered from the anchor: for each size the hashes
+    of core and whole (0: no suffix of the block is that long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 1024):
-                batch = whole.slice(at, 1024)
-                t, p, back, n = (_ints(batch, c) for c in ("t", "p", "back", "n"))
-                raw, base = _joined(batch.column("body"))
+        for all_ in batches:
+            for at in range(0, len(all_), 1024):
+                batch = all_.slice(at, 1024)
+                back, n = (_ints(batch, c) for c in ("back", "n"))
+                raw, base, length = _joined(batch.column("body"))
                 hashed = Prefix(raw.astype(np.uint64) + np.uint64(1))
                 lowest = -back // block
                 which, j = _each((n - 1 - back) // block - lowest + 1)
                 j = j + lowest[which]
-                t, p, back, n, base = (x[which] for x in (t, p, back, n, base))
-                x, y = np.maximum(back + j * block, 0), np.minimum(back + (j + 1) * block - 1, n - 1)
-                place = mix((j + (1 << 20)).astype(np.uint64))
-                core = mix(hashed(base + back + (j + 1) * block - 1, base + back + j * block + t) ^ place)
-                edges = ((x - back + (1 << 20)) * (1 << 22) + y - back + (1 << 20)).astype(np.uint64)
-                all_ = mix(hashed(base + x, base + y + t) ^ mix(edges))
+                back, n, base, length = (x[which] for x in (back, n, base, length))
+                columns = {"j": j}
+                x, place = np.maximum(back + j * block, 0), mix((j + (1 << 20)).astype(np.uint64))
+                for i, t in enumerate(sizes):
+                    y = np.minimum(back + (j + 1) * block - 1, np.minimum(n, length - t + 1) - 1)
+                    long = np.flatnonzero(y >= x)
+                    o, b, jl, yl, xl = base[long], back[long], j[long], y[long], x[long]
+                    core, whole = np.zeros(len(j), np.uint64), np.zeros(len(j), np.uint64)
+                    core[long] = mix(hashed(o + b + (jl + 1) * block - 1, o + b + jl * block + t) ^ place[long]) | np.uint64(1)
+                    edges = ((xl - b + (1 << 20)) * (1 << 22) + yl - b + (1 << 20)).astype(np.uint64)
+                    whole[long] = mix(hashed(o + xl, o + yl + t) ^ mix(edges)) | np.uint64(1)
+                    columns |= {f"core{i}": core.view(np.int64), f"whole{i}": whole.view(np.int64)}
                 rows = pa.array(which)
-                columns = {"core": core.view(np.int64), "whole": all_.view(np.int64), "j": j, "lo": p - back + x, "hi": p - back + y}
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name]) if f.name in columns else batch.column(f.name).take(rows) for f in schema], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name]).cast(f.type) if f.name in columns else batch.column(f.name).take(rows) for f in schema], schema=schema)
 
     return run
 
@@ -194,40 +198,40 @@ def sorted_run(keys: np.ndarray, counts: np.ndarray, refs: np.ndarray) -> tuple[
     return keys[first], np.minimum(total, 2), refs[first], done
 
 
-def _keys(batch: pa.RecordBatch, block: int, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys(batch: pa.RecordBatch, sizes: tuple[int, ...], block: int, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, counts and references of the suffixes in the open blocks of the bodies."""
-    t, back, n, ids = (_ints(batch, c) for c in ("t", "back", "n", "id"))
-    raw, base = _joined(batch.column("body"))
+    back, n, ids = (_ints(batch, c) for c in ("back", "n", "id"))
+    raw, base, length = _joined(batch.column("body"))
     blocks = batch.column("blocks").to_pylist()
     which = np.repeat(np.arange(len(batch)), [len(x) for x in blocks])
-    j = np.array([b["j"] for x in blocks for b in x], np.int64)
-    many = np.array([b["many"] for x in blocks for b in x], bool)
-    x, y = np.maximum(back[which] + j * block, 0), np.minimum(back[which] + (j + 1) * block - 1, n[which] - 1)
+    level, j, many = (np.array([b[c] for x in blocks for b in x], t) for c, t in (("level", np.int64), ("j", np.int64), ("many", bool)))
+    t = np.array(sizes)[level]
+    x, y = np.maximum(back[which] + j * block, 0), np.minimum(back[which] + (j + 1) * block, np.minimum(n[which], length[which] - t + 1)) - 1
     owner, k = _each(y - x + 1)
-    at, which = x[owner] + k, which[owner]
-    starts, ends = base[which] + at, base[which] + at + t[which]
+    at, which, t, level = x[owner] + k, which[owner], t[owner], level[owner]
+    starts, ends = base[which] + at, base[which] + at + t
     values = raw.astype(np.uint64) + np.uint64(1)
-    level = mix(t[which].astype(np.uint64))  # strings of different sizes never meet
-    hashes = np.stack([Prefix(values)(starts, ends) ^ level, Prefix(mix(values))(starts, ends)], 1)
+    # strings of different sizes never meet
+    hashes = np.stack([Prefix(values)(starts, ends) ^ mix(t.astype(np.uint64)), Prefix(mix(values))(starts, ends)], 1)
     keys = np.hstack([np.lib.stride_tricks.sliding_window_view(raw, head)[starts], np.ascontiguousarray(hashes).view(np.uint8)[:, :_HASH]])
     refs = np.empty(len(at), _REF)
-    refs["id"], refs["offset"] = ids[which], back[which] - at
+    refs["id"], refs["offset"] = ids[which], (back[which] - at) * _LEVELS + level
     return keys, np.where(many[owner], 2, 1), refs
 
 
-def _first_keys(block: int, head: int):
+def _first_keys(sizes: tuple[int, ...], block: int, head: int):
     """The key of the first suffix in each open block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
-                keys, _, _ = _keys(batch.slice(at, 256), block, head)
+                keys, _, _ = _keys(batch.slice(at, 256), sizes, block, head)
                 yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys[::block]], pa.binary())], ["key"])
 
     return run
 
 
-def _runs(block: int, head: int, splitters: list[bytes], limit: int, schema: pa.Schema):
+def _runs(sizes: tuple[int, ...], block: int, head: int, splitters: list[bytes], limit: int, schema: pa.Schema):
     """Sort suffixes in runs and deal their front-coded parts out by ranges of keys."""
 
     press = zstandard.compress
@@ -248,7 +252,7 @@ def _runs(block: int, head: int, splitters: list[bytes], limit: int, schema: pa.
         for batch in batches:
             for at in range(0, len(batch), 256):
                 rows: list[tuple] = []
-                parts.append(_keys(batch.slice(at, 256), block, head))
+                parts.append(_keys(batch.slice(at, 256), sizes, block, head))
                 held += len(parts[-1][1])
                 if held >= limit:
                     rows += flush(parts)
@@ -394,9 +398,10 @@ def _removed(sizes: tuple[int, ...], words: int | None, cut: str, schema: pa.Sch
                 for r in batch.slice(at, 128).to_pylist():
                     text = r["text"]
                     found = {}
-                    for t in sizes:
-                        ranges = [(x["lo"], x["hi"] + t) for x in r["whole"] or () if x["t"] == t]
-                        ranges += [(x["p"] - o, x["p"] - o + t) for x in r["single"] or () if x["t"] == t for o in x["offsets"]]
+                    for i, t in enumerate(sizes):
+                        last = len(text) - t
+                        ranges = [(x["lo"], min(x["hi"], last) + t) for x in r["whole"] or () if x["level"] in (-1, i) and x["lo"] <= last]
+                        ranges += [(x["p"] - o // _LEVELS, x["p"] - o // _LEVELS + t) for x in r["single"] or () for o in x["offsets"] if o % _LEVELS == i]
                         found[t] = _spans(ranges)
                     chosen = {"spans": found[sizes[-1]]}
                     if words is not None:
@@ -444,52 +449,62 @@ def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: st
         places = groups.select(*on, F.explode(F.sequence(F.lit(0), F.when(is_hot, spread - 1).otherwise(0))).alias("salt"))
         return dealt.join(places.hint("merge"), [*on, "salt"], "left_semi").drop("salt")
 
-    def settle(rows: DataFrame, part: str, whole: str, place: list[str], by: str) -> tuple[DataFrame, DataFrame]:
-        """Of rows (t, part, whole, many, place): the rows whose whole occurs again, and one
-        for each of the wholes that share their part with another (many: it occurs again)."""
+    def settle(rows: DataFrame, part: list[str], whole: str, place: list[str], by: str) -> tuple[DataFrame, DataFrame]:
+        """Of rows (part, whole, many, place): the rows whose whole occurs again, and one for
+        each of the wholes that share their part with another (many: it occurs again)."""
         stand = F.min(F.struct(*place)).alias("x")
-        wholes = written(rows.groupBy("t", part, whole).agg(stand, F.count(F.lit(1)).alias("n"), F.max("many").alias("many")))
-        several = written(wholes.groupBy("t", part).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        left = meet(wholes, several, ["t", part], whole).select("t", "x.*", (F.col("many") | (F.col("n") > 1)).alias("many"))
-        again = meet(rows, wholes.where("n > 1"), ["t", part, whole], by)
+        wholes = tables.write(rows.groupBy(*part, whole).agg(stand, F.count(F.lit(1)).alias("n"), F.max("many").alias("many")))
+        several = tables.write(wholes.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        left = tables.write(meet(wholes, several, part, whole).select(*part[:-1], "x.*", (F.col("many") | (F.col("n") > 1)).alias("many")))
+        again = tables.write(meet(rows, wholes.where("n > 1"), [*part, whole], by).select(*part[:-1], *place).distinct())
+        tables.drop(rows, wholes, several)
         return again, left
 
-    context = [f"c{i}" for i in range(len(sizes))]
-    schema = pa.schema([("h", pa.binary()), *ints("gram", "p", "lo", "hi", "n", *context)])
-    anchored = long.select("h", "text").mapInArrow(_anchored(sizes, w, schema), ", ".join(f"{f.name} {'binary' if f.name == 'h' else 'long'}" for f in schema))
-    grams = written(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = written(meet(anchored, grams, ["gram"], "h"))
-    levels = F.explode(F.array(*(F.struct(F.lit(t).cast("long").alias("t"), F.col(c).alias("context")) for t, c in zip(sizes, context, strict=True))))
-    members = members.select("h", "gram", "p", "lo", "hi", "n", levels.alias("level")).select("h", "gram", "p", "lo", F.least("hi", F.col("n") - F.col("level.t")).alias("hi"), "level.*", F.lit(False).alias("many")).where("context <> 0")
-    again, left = settle(members, "gram", "context", ["h", "p", "lo", "hi"], "h")
-
-    of_text = written(left.groupBy("h").agg(F.collect_list(F.struct("t", "many", "p", "lo", "hi")).alias("contexts")))
-    body = pa.schema([("h", pa.binary()), *ints("t", "p"), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
-    bodies = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(body), "h binary, t long, p long, many boolean, back long, n long, body binary")
-    bodies = written(bodies.withColumn("id", F.monotonically_increasing_id()))
-    schema = pa.schema([("id", pa.int64()), ("h", pa.binary()), ("t", pa.int64()), ("many", pa.bool_()), *ints("core", "whole", "j", "lo", "hi")])
-    blocks = written(bodies.select("id", "h", "t", "many", "p", "back", "n", "body").mapInArrow(_blocks(block, schema), "id long, h binary, t long, many boolean, core long, whole long, j long, lo long, hi long"))
-    again_block, left = settle(blocks, "core", "whole", ["id", "j"], "id")
-
-    open_ = bodies.join(left.groupBy("id").agg(F.collect_list(F.struct("j", "many")).alias("blocks")), "id").select("id", "t", "back", "n", "body", "blocks")
-    open_ = written(open_)
+    tables = Scratch(spark)
+    schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
+    anchored = long.select("h", "text").mapInArrow(_anchored(sizes, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
+    grams = tables.write(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = tables.write(meet(anchored, grams, ["gram"], "h").withColumn("many", F.lit(False)))
+    tables.drop(grams)
+    again, left = settle(members, ["gram"], "context", ["h", "p", "lo", "hi"], "h")
+
+    of_text = tables.write(left.groupBy("h").agg(F.collect_list(F.struct("many", "p", "lo", "hi")).alias("contexts")))
+    body = pa.schema([("h", pa.binary()), *ints("p"), ("many", pa.bool_()), *ints("back", "n"), ("body", pa.binary())])
+    bodies = texts_of(of_text).select("h", "text", "contexts").mapInArrow(_bodies(sizes[-1], body), "h binary, p long, many boolean, back long, n long, body binary")
+    bodies = tables.write(bodies.withColumn("id", F.monotonically_increasing_id()))
+    tables.drop(left, of_text)
+    hashes = [f"{c}{i}" for i in range(len(sizes)) for c in ("core", "whole")]
+    schema = pa.schema([("id", pa.int64()), ("many", pa.bool_()), ("j", pa.int32()), *ints(*hashes)])
+    blocks = bodies.select("id", "many", "back", "n", "body").mapInArrow(_blocks(sizes, block, schema), "id long, many boolean, j int, " + ", ".join(f"{c} long" for c in hashes))
+    blocks = tables.write(blocks)
+    cores = tables.write(blocks.groupBy("core0").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    level = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), F.col(f"core{i}").alias("core"), F.col(f"whole{i}").alias("whole")) for i in range(len(sizes)))))
+    kept = tables.write(meet(blocks, cores, ["core0"], "id").select("id", "many", "j", level.alias("x")).select("id", "many", "j", "x.*").where("core <> 0"))
+    tables.drop(blocks, cores)
+    again_block, left = settle(kept, ["level", "core"], "whole", ["id", "j"], "id")
+
+    opened = left.groupBy("id").agg(F.collect_list(F.struct("level", "j", "many")).alias("blocks"))
+    open_ = tables.write(bodies.join(opened, "id").select("id", "back", "n", "body", "blocks"))
     # samples and sizes balance the ranges only; every open suffix is sorted
     total = open_.agg(F.sum(F.size("blocks"))).first()[0] or 0
     ranges = max(1, total * block // range_rows)
-    drawn = open_.orderBy(F.xxhash64("id")).limit(max(sample, 8 * ranges)) if total else open_
-    drawn = sorted({bytes(r.key) for r in drawn.mapInArrow(_first_keys(block, head), "key binary").collect()}) if ranges > 1 else []
+    drawn = open_.orderBy(F.xxhash64("id")).limit(max(sample, 8 * ranges))
+    drawn = sorted({bytes(r.key) for r in drawn.mapInArrow(_first_keys(sizes, block, head), "key binary").collect()}) if ranges > 1 else []
     splitters = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if len(drawn) >= ranges else drawn
     runs = pa.schema([("range", pa.int32()), *((c, pa.binary()) for c in ("lcp", "rest", "counts", "refs", "done"))])
     settled = (
-        open_.mapInArrow(_runs(block, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
+        open_.mapInArrow(_runs(sizes, block, head, splitters, run_rows, runs), "range int, lcp binary, rest binary, counts binary, refs binary, done binary")
         .groupBy("range")
         .applyInArrow(_merged(head + _HASH, pa.schema(ints("id", "offset"))), "id long, offset long")
         .groupBy("id")
         .agg(F.collect_set("offset").alias("offsets"))
     )
-    single = bodies.select("id", "h", "t", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("t", "p", "offsets")).alias("single"))
-    whole = again.select("h", "t", "lo", "hi").union(again_block.select("h", "t", "lo", "hi")).distinct().groupBy("h").agg(F.collect_list(F.struct("t", "lo", "hi")).alias("whole"))
-    found = texts_of(written(whole.join(single, "h", "full"))).select("h", "text", "whole", "single")
+    single = bodies.select("id", "h", "p").join(settled, "id").groupBy("h").agg(F.collect_list(F.struct("p", "offsets")).alias("single"))
+    first, p = F.col("p") + F.col("j") * block, F.col("p") - F.col("back")
+    ends = F.greatest(first, p).alias("lo"), F.least(first + block - 1, p + F.col("n") - 1).alias("hi")
+    in_block = again_block.join(bodies.select("id", "h", "p", "back", "n"), "id").select("h", "level", *ends)
+    whole = again.select("h", F.lit(-1).alias("level"), "lo", "hi").union(in_block).groupBy("h").agg(F.collect_list(F.struct("level", "lo", "hi")).alias("whole"))
+    found = texts_of(tables.keep(tables.write(whole.join(single, "h", "full")))).select("h", "text", "whole", "single")
     names = ["spans"] + ["passages"] * (words is not None)
     schema = pa.schema([("h", pa.binary()), *((n, _SPAN_ARROW) for n in names), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
     return found.mapInArrow(_removed(sizes, words, cut, schema), "h binary, " + "".join(f"{n} {_SPAN}, " for n in names) + "kept_sha256 string" + ", kept string" * with_text)

@@ -174,6 +174,23 @@ def test_repeats(docs, empty, size, w):
     assert repeated_spans(empty, size=size, w=w).count() == 0
 
 
+def test_passages(spark, docs):
+    rows = fixture_rows(docs)
+    texts = [(r[1] or "").encode() for r in rows]
+    got = {(str(r.doc_id), r.n_bytes, r.n_removed, r.n_passage) for r in repeated_spans(docs, size=80, passage=30, words=6, w=12, block=4, run_rows=50, range_rows=100).collect()}
+    want = set()
+    for r, t, short, full in zip(rows, texts, spans_by_brute_force(texts, 30), spans_by_brute_force(texts, 80), strict=True):
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], short.astype(np.int8), [0]])))
+        n = sum(int(e - b) for b, e in edges.reshape(-1, 2) if e - b >= 80 or len(t[b:e].split()) > 6)
+        want.add((str(r[0]), len(t), int(full.sum()), n))
+    assert got == want
+    # cut texts hold the same bytes, whatever a caller's columns are named
+    named = docs.withColumn("h", F.lit("mine")).withColumn("kept", F.lit(1)).withColumn("row", F.lit(2))
+    cut = remove_repeats(named, size=80, passage=30, words=6, w=12, block=4)
+    assert cut.columns == named.columns and {(x.h, x.kept, x.row) for x in cut.collect()} == {("mine", 1, 2)}
+    assert cut.where("text IS NULL").count() == docs.where("text IS NULL").count()
+
+
 def test_remove_repeats_keeps_columns(docs):
     out = remove_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
