@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EDGES = r"(?U)^\s+|\s+$"
+_CUT = "\U0010ffff"  # no character
 
 
 def normalise_space(c: Column) -> Column:
@@ -52,12 +53,10 @@ def merge_dependent(parts: Column, prefixes: tuple[str, ...]) -> Column:
             out = out | F.lower(x).startswith(p.lower())
         return out
 
-    def step(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat_ws(" ", last, x)))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)).endswith("?") | starts(x)), joined).otherwise(F.concat(done, F.array(x)))
-
-    return F.aggregate(parts, F.array().cast("array<string>"), step)
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
+    led = F.zip_with(parts, before, lambda x, y: F.concat(F.when(y.isNull(), "").when(y.endswith("?") | starts(x), " ").otherwise(_CUT), x))
+    # one pass: the parts are joined once and cut where a sentence stands alone
+    return F.when(F.size(parts) > 0, F.split(F.array_join(F.slice(led, 1, F.size(parts)), ""), _CUT)).otherwise(F.array().cast("array<string>"))
 
 
 def truncate(c: Column, most: int) -> Column:
@@ -66,12 +65,47 @@ def truncate(c: Column, most: int) -> Column:
     return F.when(F.length(x) <= most, x).otherwise(F.concat(F.rtrim(F.substring(x, 1, most - 3)), F.lit("...")))
 
 
-def escape_html(c: Column) -> Column:
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+def truncate_after(c: Column, most: int) -> Column:
+    """``most`` characters and an ellipsis after them, if there are more."""
+    x = normalise_space(c)
+    return F.when(F.length(x) <= most, x).otherwise(F.concat(F.rtrim(F.substring(x, 1, most)), F.lit("...")))
+
+
+def escape_html(c: Column, quotes: bool = False) -> Column:
+    """The four entities of text and attributes; with ``quotes`` single quotes too."""
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), *((("'", "&#x27;"),) if quotes else ())):
         c = F.replace(c, F.lit(a), F.lit(b))
     return c
 
 
+def short_clause_id(c: Column) -> Column:
+    """Of document:chunk:row:clause the last part of the chunk's name and the clause."""
+    parts = F.split(F.coalesce(c, F.lit("")), ":")
+    return F.when(F.size(parts) >= 2, F.concat(F.element_at(F.split(F.get(parts, F.lit(1)), "_"), -1), F.lit(":"), F.element_at(parts, -1))).otherwise(F.coalesce(c, F.lit("")))
+
+
+def page_reference(pages: Column) -> Column:
+    """" (p. 1, 2)" under its mark; empty without pages."""
+    return F.when(F.size(F.coalesce(pages, F.array().cast("array<int>"))) > 0, F.concat(F.lit(" <span class='page-ref'>(p. "), F.array_join(pages.cast("array<string>"), ", "), F.lit(")</span>"))).otherwise("")
+
+
+def integer_or(c: Column, default: int | None = None) -> Column:
+    """Text as an integer, the default if it is none."""
+    return F.coalesce(F.trim(c).try_cast("int"), F.lit(default).cast("int"))
+
+
+def box_of(c: Column) -> Column:
+    """Four numbers of JSON text; null for "null", other lengths and what can't be read."""
+    box = F.from_json(c, "array<double>")
+    return F.when((F.size(box) == 4) & ~F.exists(box, lambda x: x.isNull()), box)
+
+
+def ids_of(c: Column) -> Column:
+    """A JSON list of ids; text that is no list is one id, blank text none."""
+    x = F.trim(F.coalesce(c, F.lit("")))
+    return F.when(x == "", F.array().cast("array<string>")).otherwise(F.coalesce(F.when(x.startswith("["), F.from_json(x, "array<string>")), F.array(x)))
+
+
 def section_path(hierarchy: Column, headers: Column) -> Column:
     """Header texts of {level: block id} in numeric order of the levels, joined by " > ";
     empty if a level is no integer; missing headers are left out."""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,17 +18,33 @@ def normalised(c: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")))
 
 
-def similarity(quote: str, text: str) -> float:
+def _bounds(quote: str, text: str) -> np.ndarray:
+    """For each stretch of the text of the quote's length the number of characters that both
+    have, at whatever places: no ratio is above twice that by both lengths."""
+    n, chars = len(quote), np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    shared = np.zeros(len(text) - n + 1, np.int64)
+    for c, many in Counter(quote).items():
+        seen = np.concatenate([[0], np.cumsum(chars == ord(c))])
+        shared += np.minimum(seen[n:] - seen[:-n], many)
+    return shared
+
+
+def similarity(quote: str, text: str, floor: float = 0.0) -> float:
     """1 if either holds the other; else the best ratio of the quote against the text and,
-    from 10 characters on, against every stretch of the text of the quote's length."""
+    from 10 characters on, against every stretch of the text of the quote's length.
+
+    Stretches are tried from the best bound down, until none is above what was found or can
+    reach the floor; a result below the floor says only that."""
     if quote in text or text in quote:
         return 1.0
-    best = SequenceMatcher(None, quote, text).ratio()
-    if len(quote) >= 10:
-        for i in range(len(text) - len(quote) + 1):
-            m = SequenceMatcher(None, quote, text[i : i + len(quote)])
-            if m.quick_ratio() > best:  # never below the ratio
-                best = max(best, m.ratio())
+    n = len(quote) + len(text)
+    best = SequenceMatcher(None, quote, text).ratio() if n and 2 * min(len(quote), len(text)) / n >= floor else 0.0
+    if 10 <= len(quote) <= len(text):
+        shared = _bounds(quote, text)
+        for i in np.argsort(-shared, kind="stable"):
+            if shared[i] / len(quote) <= best or shared[i] / len(quote) < floor:
+                break
+            best = max(best, SequenceMatcher(None, quote, text[i : i + len(quote)]).ratio())
     return best
 
 
@@ -57,12 +75,15 @@ def _searched(quote: str, ids: list[str], texts: list[str], fuzzy: float) -> tup
     held = [i for i, t in zip(ids, texts, strict=True) if quote in t or t in quote]
     if held:
         return 1.0, held
-    scores = [similarity(quote, t) for t in texts]
-    best = max(scores, default=0.0)
+    scores, best = [0.0] * len(texts), 0.0
+    top = [max(_bounds(quote, t), default=0) if 10 <= len(quote) <= len(t) else 0 for t in texts]
+    for i in sorted(range(len(texts)), key=lambda i: -top[i]):
+        scores[i] = similarity(quote, texts[i], best)
+        best = max(best, scores[i])
     found = [i for i, s in zip(ids, scores, strict=True) if s == best and s > 0]
     if best < fuzzy:
         for a in range(len(ids) - 1):
-            s = similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()))
+            s = similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()), best)
             if s > best:
                 best, found = s, list(ids[a : a + 3])
     return best, found

@@ -10,8 +10,27 @@ from pyspark.sql import functions as F
 #: Weights of item types in the composite score.
 TYPE_WEIGHTS = {"covered": 1.0, "not_covered": 0.9, "notification_duty": 0.85, "claim_obligation": 0.8, "limit": 0.8, "deadline": 0.8, "obligation": 0.7, "condition": 0.6}
 
-
-def section_score(path: Column, weights: Mapping[str, float], floor: float = 0.3) -> Column:
+#: Weights of phrases in a section's path.
+SECTION_WEIGHTS = {
+    "wat is verzekerd": 1.0,
+    "dit is verzekerd": 1.0,
+    "verzekerd": 0.9,
+    "wat is niet verzekerd": 0.9,
+    "dit is niet verzekerd": 0.9,
+    "niet verzekerd": 0.85,
+    "nooit verzekerd": 0.85,
+    "eigen risico": 0.7,
+    "maximale vergoeding": 0.7,
+    "meldplicht": 0.65,
+    "schade melden": 0.6,
+    "verplichtingen": 0.6,
+    "spelregels": 0.4,
+    "klachtenregeling": 0.2,
+    "begrippen": 0.1,
+}
+
+
+def section_score(path: Column, weights: Mapping[str, float] = SECTION_WEIGHTS, floor: float = 0.3) -> Column:
     """The largest weight of the keywords that the path contains, the floor at least."""
     hit = [F.when(F.lower(path).contains(k), F.lit(w)).otherwise(F.lit(floor)) for k, w in weights.items()]
     return F.greatest(F.lit(floor), F.lit(floor), *hit)
@@ -44,6 +63,25 @@ def corrected_polarity(item_type: Column, insured: Column, not_insured: Column)
     )
 
 
+def specificity(money: Column, deadlines: Column) -> tuple[Column, Column]:
+    """Whether amounts and terms are named: null counts as none."""
+    some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    return some(money), some(deadlines)
+
+
+def polarity_override(items: DataFrame, roles: DataFrame, keys: list[str]) -> DataFrame:
+    """Items with the type that most of their clauses' columns speak for, and whether that
+    changed it (column_role_override). The matched clauses count, without any the cited ones;
+    a clause named twice counts twice. Roles: doc_id, clause_id, column_role."""
+    ids = F.when(F.coalesce(F.size("matched_clause_ids"), F.lit(0)) > 0, F.col("matched_clause_ids")).otherwise(F.col("supporting_clause_ids"))
+    each = items.select("doc_id", *keys, F.explode(ids).alias("clause_id")).join(roles.select("doc_id", "clause_id", "column_role"), ["doc_id", "clause_id"])
+    votes = each.groupBy("doc_id", *keys).agg(F.count_if(F.col("column_role") == "insured").alias("__yes"), F.count_if(F.col("column_role") == "not_insured").alias("__no"))
+    rows = items.join(votes, ["doc_id", *keys], "left").fillna(0, ["__yes", "__no"])
+    new = corrected_polarity(F.col("item_type"), F.col("__yes"), F.col("__no"))
+    rows = rows.withColumn("__new", new).withColumn("column_role_override", F.col("__new") != F.col("item_type"))
+    return rows.withColumn("item_type", F.col("__new")).drop("__new", "__yes", "__no")
+
+
 def top_per_bucket(df: DataFrame, bucket: list[str], order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*bucket).orderBy(*order))).where(F.col("rank") <= k)
 
@@ -77,20 +115,26 @@ def merge_provenance(df: DataFrame, keys: list[str], order: str, ids: str, score
     return df.groupBy(*keys).agg(F.max(score).alias("score"), F.count(F.lit(1)).alias("merged_count"), c.alias("c")).withColumn("ids", F.array_distinct(f"c.{ids}")).drop("c")
 
 
-def fallback_selection(df: DataFrame, scope: list[str], quotas: Mapping[str, int], module_buckets: tuple[str, ...], priority: str, order: list[Column], most: int = 80, bucket: str = "bucket", module: str = "module") -> DataFrame:
-    """The choice without a model: of each bucket the best by ``order`` up to its quota (of a
-    module bucket, of each module), then the ``most`` of least priority. Equal priorities keep
-    the order of choice: module buckets by module, then the other buckets as in ``quotas``."""
+def fallback_place(df: DataFrame, scope: list[str], quotas: Mapping[str, int], module_buckets: tuple[str, ...], priority: str, order: list[Column], bucket: str = "bucket", module: str = "module") -> DataFrame:
+    """Rows with their place in the choice without a model (null: outside the quotas): of each
+    bucket the best by ``order`` up to its quota (of a module bucket, of each module), by
+    priority. Equal priorities keep the order of choice: module buckets by module, then the
+    other buckets as in ``quotas``."""
     names = list(quotas)
     at = lambda a, c: F.array_position(F.array(*map(F.lit, a)), c)
     b, of_module = F.col(bucket), F.col(bucket).isin(*module_buckets)
-    limit = F.element_at(F.create_map(*(F.lit(x) for pair in quotas.items() for x in pair)), b)
-    part = F.when(of_module, F.coalesce(module, F.lit("general")))
-    rows = df.where(b.isin(*names)).withColumns({"__p": part, "__q": limit})
-    rows = rows.withColumn("__r", F.row_number().over(Window.partitionBy(*scope, bucket, "__p").orderBy(*order))).where("__r <= __q")
-    turn = [F.asc_nulls_last("__p"), F.when(of_module, at(module_buckets, b)).otherwise(at(names, b)), F.asc("__r")]
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*scope).orderBy(F.asc(priority), *turn)))
-    return rows.where(F.col("place") <= most).drop("__p", "__q", "__r")
+    limit = F.try_element_at(F.create_map(*(F.lit(x) for pair in quotas.items() for x in pair)), b)
+    rows = df.withColumn("__p", F.when(of_module, F.coalesce(module, F.lit("general"))))
+    rows = rows.withColumn("__q", F.row_number().over(Window.partitionBy(*scope, bucket, "__p").orderBy(*order)))
+    rows = rows.withColumn("__in", F.coalesce(F.col("__q") <= limit, F.lit(False)))
+    turn = [F.asc_nulls_last("__p"), F.when(of_module, at(module_buckets, b)).otherwise(at(names, b)), F.asc("__q")]
+    place = F.row_number().over(Window.partitionBy(*scope, "__in").orderBy(F.asc(priority), *turn))
+    return rows.withColumn("place", F.when(F.col("__in"), place)).drop("__p", "__q", "__in")
+
+
+def fallback_selection(df: DataFrame, scope: list[str], quotas: Mapping[str, int], module_buckets: tuple[str, ...], priority: str, order: list[Column], most: int = 80, bucket: str = "bucket", module: str = "module") -> DataFrame:
+    """The choice without a model: the ``most`` rows of a scope that ``fallback_place`` puts first."""
+    return fallback_place(df, scope, quotas, module_buckets, priority, order, bucket, module).where(F.col("place") <= most)
 
 
 def too_few(groups: Column, records: Column, least: int = 35, most: int = 80) -> Column:

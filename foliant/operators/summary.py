@@ -41,6 +41,26 @@ def canonical_module(c: Column) -> Column:
     return F.coalesce(F.try_element_at(names, c), c, F.lit("general"))
 
 
+def relevant(items: DataFrame) -> DataFrame:
+    """Items of the types that customers see, with their module's own name."""
+    return items.where(F.col("item_type").isin(*RELEVANT)).withColumn("module", canonical_module(F.col("module")))
+
+
+def entries(items: DataFrame) -> DataFrame:
+    """Items as entries of a summary: the quote where there is no headline, all pages from the
+    first to the last (none if the last comes before), matched clauses as chunk_ids, scopes by
+    their modules' own names, from_table where a table's column changed the type."""
+    ps, pe = F.col("page_start").cast("int"), F.col("page_end").cast("int")
+    last = F.coalesce(F.nullif(pe, F.lit(0)), ps)
+    pages = F.when(ps.isNotNull() & (last >= ps), F.sequence(ps, last)).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<string>")
+    quote = F.coalesce("exact_quote", F.lit(""))
+    return items.withColumns({
+        "headline": F.coalesce(F.nullif("headline", F.lit("")), quote), "exact_quote": quote, "module": F.coalesce("module", F.lit("general")), "importance": F.coalesce(F.col("importance").cast("int"), F.lit(3)), "source_pages": pages,
+        "chunk_ids": F.coalesce("matched_clause_ids", none), "exclusion_scope": F.transform(F.coalesce("exclusion_scope", none), canonical_module), "from_table": F.coalesce("column_role_override", F.lit(False)),
+    })
+
+
 def bucket(item_type: Column, module: Column, scope: Column, modules: tuple[str, ...] = MODULES) -> Column:
     """Struct of bucket and group (a module or null). The bucket is null for items that no
     summary shows: irrelevant types, covered items and limits of unknown modules."""

@@ -4,18 +4,20 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from foliant.plans import reference
+from foliant.plans import choices, reference, structure
 
 DATA = "/root/testdata/sf0.001"
+QUERIES = reference.QUERIES | structure.QUERIES | choices.QUERIES
+ORACLE_SQL = reference.ORACLE_SQL | structure.ORACLE_SQL | choices.ORACLE_SQL
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-@pytest.mark.parametrize("name", sorted(reference.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
     for t in os.listdir(DATA):
         con.execute(f"CREATE VIEW {t.split('.')[0]} AS SELECT * FROM '{DATA}/{t}'")
-    got, want = reference.QUERIES[name](spark, DATA), con.execute(reference.ORACLE_SQL[name]).df()
+    got, want = QUERIES[name](spark, DATA), con.execute(ORACLE_SQL[name]).df()
     columns = sorted(got.columns)
     rows = lambda df: sorted(map(repr, df[columns].astype(object).itertuples(index=False, name=None)))
     assert columns == sorted(want.columns)
@@ -25,4 +27,4 @@ def test_against_sql(spark, name):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
-    assert set(reference.QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
