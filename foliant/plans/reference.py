@@ -124,7 +124,7 @@ def answer_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of whole pages; a parser, so SQL has no form of it."""
+    """Texts of whole pages, by a parser; SQL says what it gives for pages of this kind."""
     return _t(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
 
 
@@ -164,7 +164,7 @@ def cited_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as lists; a test holds it against plain Python."""
+    """Turns as lists; a test holds it against plain Python too."""
     none = lambda t: F.lit(None).cast(t)
     c = _t(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("doc_id"), F.col("turn").cast("string").alias("chunk_id"), F.lit("list_chunk").alias("chunk_kind"), F.lit("").alias("title_text"), F.col("role").alias("section_path"), F.col("text").alias("text_raw"),
@@ -174,7 +174,7 @@ def turn_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders stand for documents, their lines for items; HTML, so SQL has no form of it."""
+    """Orders stand for documents, their lines for items."""
     names = F.array(*map(F.lit, BUCKETS))
     items = _t(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("doc_id"), F.get(names, F.pmod("l_linenumber", F.lit(len(BUCKETS))).cast("int")).alias("bucket"), F.lit(None).cast("string").alias("group"),
@@ -249,4 +249,20 @@ ORACLE_SQL = {
         f AS (SELECT a.conv_id, a.turn, string_agg(lpad(CAST(b.turn AS VARCHAR), 3, '0'), ',' ORDER BY b.turn) AS ids, min(b.turn) AS page_start, max(b.turn) AS page_end FROM c a JOIN c b ON a.conv_id = b.conv_id AND (contains(b.t, a.q) OR contains(a.q, b.t)) AND (a.turn % 2 = 1 OR a.turn = b.turn) AND coalesce(a.raw, '') <> '' GROUP BY a.conv_id, a.turn)
         SELECT c.conv_id, c.turn, CASE WHEN ids IS NULL THEN 'unverified' ELSE 'verified' END AS status, CASE WHEN ids IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS quote_match_score, coalesce(ids, '') AS ids, page_start, page_end FROM c LEFT JOIN f USING (conv_id, turn)""",
     "answer_items": "SELECT event_id, CAST(0 AS BIGINT) AS item_index, 'covered' AS item_type, 'general' AS module, 'h' || user_id AS headline, event_id % 5 AS importance FROM events WHERE event_id % 5 <> 0",
+    "page_texts": r"""WITH a AS (SELECT page_id, replace(regexp_replace(html, '<!--.*?-->', '', 'g'), '"</p>"', '"' || chr(2) || '"') AS x FROM pages),
+        b AS (SELECT page_id, replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), chr(2), '</p>') AS x FROM a), c AS (SELECT page_id, replace(replace(replace(replace(x, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&') AS x FROM b)
+        SELECT page_id, trim(regexp_replace(replace(x, chr(173), ''), '[\s\p{Z}\x0B]+', ' ', 'g')) AS text FROM c""",
+    "turn_clauses": rf"""WITH l AS (SELECT CAST(conv_id AS VARCHAR) AS d, CAST(turn AS VARCHAR) AS k, role, unnest(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10))) AS raw, unnest(range(len(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10))))) AS line FROM conversations),
+        c AS (SELECT d, k, role, line, trim(regexp_replace(replace({_NORM.format('raw')}, chr(65533), '€'), '^[\-•‣●◦\s]+', '')) AS x FROM l),
+        p AS (SELECT d, k, role, line, string_split(regexp_replace(x, '([.!?])\s+([A-ZÀ-Ý0-9])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS ps FROM c WHERE x <> ''),
+        u AS (SELECT d, k, role, line, unnest(ps) AS x, unnest(range(len(ps))) AS i FROM p), s AS (SELECT d, k, role, line, i, trim(regexp_replace(x, '^[\-•‣●◦\s]+', '')) AS x FROM u),
+        b AS (SELECT *, CASE WHEN row_number() OVER w > 1 AND (ends_with(lag(x) OVER w, '?') OR regexp_matches(lower(x), '^(bijvoorbeeld|dit betekent|om dit te bepalen|maar |en |of |dan )')) THEN 0 ELSE 1 END AS cut FROM s WHERE x <> '' WINDOW w AS (PARTITION BY d, k, line ORDER BY i)),
+        g AS (SELECT *, sum(cut) OVER (PARTITION BY d, k, line ORDER BY i) AS part FROM b), m AS (SELECT d, k, role, line, part, string_agg(x, ' ' ORDER BY i) AS x FROM g GROUP BY ALL),
+        n AS (SELECT *, row_number() OVER (PARTITION BY d, k ORDER BY line, part) - 1 AS at_ FROM m)
+        SELECT d || ':' || k || ':rna:c' || at_ AS clause_id, role AS section_id, 'unknown' AS column_role, '' AS category_hint, x AS clause_text FROM n WHERE NOT regexp_full_match(x, '\d+[.:]?')""",
+    "order_pages": f"""WITH i AS (SELECT l_orderkey AS doc_id, {list(BUCKETS)}[l_linenumber % {len(BUCKETS)} + 1] AS bucket, l_linenumber % {len(BUCKETS)} AS b, concat_ws('.', l_linenumber, l_partkey, l_suppkey) AS item_id, l_returnflag, l_linestatus, l_linenumber, l_partkey FROM lineitem),
+        n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY b, item_id) AS number FROM i),
+        t AS (SELECT doc_id, bucket, min(number) AS f, count(*) AS n, string_agg('<article id="item-' || number || '"><h3>' || l_returnflag || '</h3><q>' || l_linestatus || '</q><small>p. ' || l_linenumber || '</small><i>' || l_partkey || '</i></article>', '' ORDER BY number) AS cards FROM n GROUP BY doc_id, bucket)
+        SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_items, '<!doctype html><html><head><meta charset="utf-8"><title>' || doc_id || '</title></head><body><ul>' || string_agg('<li>' || bucket || ': ' || n || '</li>', '' ORDER BY f) || '</ul>'
+            || string_agg('<details open><summary>' || bucket || '</summary>' || cards || '</details>', '' ORDER BY f) || '</body></html>' AS html FROM t GROUP BY doc_id""",
 }
