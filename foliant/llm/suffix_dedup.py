@@ -376,42 +376,63 @@ def _merged(width: int, schema: pa.Schema):
     return run
 
 
-def _spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs of the ranges' bytes."""
-    spans: list[tuple[int, int]] = []
-    for b, e in sorted(ranges):
-        if spans and b <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(e, spans[-1][1]))
-        else:
-            spans.append((b, e))
-    return spans
-
-
-def _removed(sizes: tuple[int, ...], words: int | None, cut: str, schema: pa.Schema):
-    """Spans of the last size and, if words are given, passages of the first; with ``cut``
-    ("spans" or "passages") the text without those."""
+def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray, n_rows: int) -> list[np.ndarray]:
+    """For each row the maximal runs (start, end) of its ranges' bytes."""
+    wide = int(end.max(initial=0)) + 2
+    order = np.argsort(row * wide + start, kind="stable")
+    row, start, end = row[order], start[order] + row[order] * wide, end[order] + row[order] * wide
+    reach = np.maximum.accumulate(end) if len(end) else end
+    first = np.concatenate([[True], start[1:] > reach[:-1]]) if len(end) else np.empty(0, bool)
+    at = np.flatnonzero(first)
+    last = np.concatenate([at[1:] - 1, [len(end) - 1]]) if len(at) else at
+    spans = np.stack([start[at], reach[last]], 1) - (row[at] * wide)[:, None]
+    return np.split(spans, np.searchsorted(row[at], np.arange(1, n_rows)))
+
+
+def _listed(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The values of a list column and the row of each; null lists are empty."""
+    counts = np.diff(column.offsets.to_numpy()) if column.null_count == 0 else np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
+    return column.flatten(), np.repeat(np.arange(len(column)), counts)
+
+
+def _removed(sizes: tuple[int, ...], words: int | None, full: int, cut: str, schema: pa.Schema):
+    """Spans of the last size and, if words are given, passages of the first (more words or
+    ``full`` bytes); with ``cut`` ("spans" or "passages") the text without those."""
+    number = lambda a: a.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def found(batch: pa.RecordBatch, lengths: np.ndarray) -> dict[int, list[np.ndarray]]:
+        whole, w_row = _listed(batch.column("whole"))
+        level, lo, hi = (number(whole.field(c)) for c in ("level", "lo", "hi"))
+        single, s_row = _listed(batch.column("single"))
+        offset, of = _listed(single.field("offsets"))
+        offset = number(offset)
+        p, s_row = number(single.field("p"))[of], s_row[of]
+        out = {}
+        for i, t in enumerate(sizes):
+            last = lengths[w_row] - t
+            a = ((level == -1) | (level == i)) & (lo <= last)
+            b = offset % _LEVELS == i
+            begin = p[b] - offset[b] // _LEVELS
+            out[t] = _spans(np.concatenate([w_row[a], s_row[b]]), np.concatenate([lo[a], begin]), np.concatenate([np.minimum(hi[a], last[a]) + t, begin + t]), len(batch))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 128):
+        for whole in batches:
+            for at in range(0, len(whole), 128):
+                batch = whole.slice(at, 128)
+                texts = batch.column("text").to_pylist()
+                spans = found(batch, np.array([len(t) for t in texts], np.int64))
                 out: dict[str, list] = {f.name: [] for f in schema}
-                for r in batch.slice(at, 128).to_pylist():
-                    text = r["text"]
-                    found = {}
-                    for i, t in enumerate(sizes):
-                        last = len(text) - t
-                        ranges = [(x["lo"], min(x["hi"], last) + t) for x in r["whole"] or () if x["level"] in (-1, i) and x["lo"] <= last]
-                        ranges += [(x["p"] - o // _LEVELS, x["p"] - o // _LEVELS + t) for x in r["single"] or () for o in x["offsets"] if o % _LEVELS == i]
-                        found[t] = _spans(ranges)
-                    chosen = {"spans": found[sizes[-1]]}
+                for i, (h, text) in enumerate(zip(batch.column("h").to_pylist(), texts, strict=True)):
+                    chosen = {"spans": spans[sizes[-1]][i].tolist()}
                     if words is not None:
-                        chosen["passages"] = [(b, e) for b, e in found[sizes[0]] if e - b >= sizes[-1] or len(text[b:e].split()) > words]
+                        chosen["passages"] = [(b, e) for b, e in spans[sizes[0]][i].tolist() if e - b >= full or len(text[b:e].split()) > words]
                     kept, last = [], 0
                     for b, e in chosen[cut]:
                         kept.append(text[last:b])
                         last = e
                     kept = b"".join([*kept, text[last:]])
-                    row = {k: [{"start": b, "end": e} for b, e in v] for k, v in chosen.items()} | {"h": r["h"], "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
+                    row = {k: [{"start": b, "end": e} for b, e in v] for k, v in chosen.items()} | {"h": h, "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept}
                     for name, column in out.items():
                         column.append(row[name].decode("utf-8", "ignore") if name == "kept" else row[name])
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
@@ -423,7 +444,7 @@ _SPAN = "array<struct<start: long, end: long>>"
 _SPAN_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: str, w: int, block: int, head: int, run_rows: int, range_rows: int, sample: int, broadcast_rows: int, with_text: bool) -> DataFrame:
+def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, full: int, cut: str, w: int, block: int, head: int, run_rows: int, range_rows: int, sample: int, broadcast_rows: int, with_text: bool) -> DataFrame:
     """For each distinct text (h, text) in which something repeats: what goes."""
     spark = rows.sparkSession
     block, head = max(1, min(block, sizes[0] // 2)), min(head, sizes[0])
@@ -456,16 +477,17 @@ def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: st
         wholes = tables.write(rows.groupBy(*part, whole).agg(stand, F.count(F.lit(1)).alias("n"), F.max("many").alias("many")))
         several = tables.write(wholes.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
         left = tables.write(meet(wholes, several, part, whole).select(*part[:-1], "x.*", (F.col("many") | (F.col("n") > 1)).alias("many")))
-        again = tables.write(meet(rows, wholes.where("n > 1"), [*part, whole], by).select(*part[:-1], *place).distinct())
+        again = tables.write(meet(rows, wholes.where("n > 1"), [*part, whole], by).select(*part[:-1], *place))
         tables.drop(rows, wholes, several)
         return again, left
 
     tables = Scratch(spark)
     schema = pa.schema([("h", pa.binary()), *ints("gram", "context", "p", "lo", "hi")])
-    anchored = long.select("h", "text").mapInArrow(_anchored(sizes, w, schema), "h binary, gram long, context long, p long, lo long, hi long")
+    # written, as it is read twice and the anchors cost more than the table
+    anchored = tables.write(long.select("h", "text").mapInArrow(_anchored(sizes, w, schema), "h binary, gram long, context long, p long, lo long, hi long"))
     grams = tables.write(anchored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = tables.write(meet(anchored, grams, ["gram"], "h").withColumn("many", F.lit(False)))
-    tables.drop(grams)
+    tables.drop(anchored, grams)
     again, left = settle(members, ["gram"], "context", ["h", "p", "lo", "hi"], "h")
 
     of_text = tables.write(left.groupBy("h").agg(F.collect_list(F.struct("many", "p", "lo", "hi")).alias("contexts")))
@@ -486,9 +508,10 @@ def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: st
     opened = left.groupBy("id").agg(F.collect_list(F.struct("level", "j", "many")).alias("blocks"))
     open_ = tables.write(bodies.join(opened, "id").select("id", "back", "n", "body", "blocks"))
     # samples and sizes balance the ranges only; every open suffix is sorted
-    total = open_.agg(F.sum(F.size("blocks"))).first()[0] or 0
-    ranges = max(1, total * block // range_rows)
-    drawn = open_.orderBy(F.xxhash64("id")).limit(max(sample, 8 * ranges))
+    size = open_.agg(F.sum(F.size("blocks")).alias("blocks"), F.count(F.lit(1)).alias("n")).first()
+    ranges = max(1, (size.blocks or 0) * block // range_rows)
+    share = int(min(1.0, max(sample, 8 * ranges) / max(1, size.n)) * (1 << 30))
+    drawn = open_.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
     drawn = sorted({bytes(r.key) for r in drawn.mapInArrow(_first_keys(sizes, block, head), "key binary").collect()}) if ranges > 1 else []
     splitters = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if len(drawn) >= ranges else drawn
     runs = pa.schema([("range", pa.int32()), *((c, pa.binary()) for c in ("lcp", "rest", "counts", "refs", "done"))])
@@ -503,11 +526,11 @@ def _repeats(rows: DataFrame, sizes: tuple[int, ...], words: int | None, cut: st
     first, p = F.col("p") + F.col("j") * block, F.col("p") - F.col("back")
     ends = F.greatest(first, p).alias("lo"), F.least(first + block - 1, p + F.col("n") - 1).alias("hi")
     in_block = again_block.join(bodies.select("id", "h", "p", "back", "n"), "id").select("h", "level", *ends)
-    whole = again.select("h", F.lit(-1).alias("level"), "lo", "hi").union(in_block).groupBy("h").agg(F.collect_list(F.struct("level", "lo", "hi")).alias("whole"))
+    whole = again.select("h", F.lit(-1).alias("level"), "lo", "hi").union(in_block).groupBy("h").agg(F.collect_set(F.struct("level", "lo", "hi")).alias("whole"))
     found = texts_of(tables.keep(tables.write(whole.join(single, "h", "full")))).select("h", "text", "whole", "single")
     names = ["spans"] + ["passages"] * (words is not None)
     schema = pa.schema([("h", pa.binary()), *((n, _SPAN_ARROW) for n in names), ("kept_sha256", pa.string())] + [("kept", pa.string())] * with_text)
-    return found.mapInArrow(_removed(sizes, words, cut, schema), "h binary, " + "".join(f"{n} {_SPAN}, " for n in names) + "kept_sha256 string" + ", kept string" * with_text)
+    return found.mapInArrow(_removed(sizes, words, full, cut, schema), "h binary, " + "".join(f"{n} {_SPAN}, " for n in names) + "kept_sha256 string" + ", kept string" * with_text)
 
 
 def _length(spans: str) -> F.Column:
@@ -528,7 +551,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), bytes_of(text_col).alias("text")).withColumn("h", F.unhex(F.md5("text")))
     sizes, count = ((passage, size), words) if passage else ((size,), None)
-    found = _repeats(rows.select("h", "text"), sizes, count, "spans", w, block, head, run_rows, range_rows, sample, broadcast_rows, False)
+    found = _repeats(rows.select("h", "text"), sizes, count, size, "spans", w, block, head, run_rows, range_rows, sample, broadcast_rows, False)
     each = rows.select("doc_id", "h", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
     none = F.array().cast(_SPAN)
     full = each.join(found, "h", "left").withColumns({c: F.coalesce(c, none) for c in found.columns if c in ("spans", "passages")})
@@ -543,7 +566,7 @@ def remove_repeats(docs: DataFrame, *, text_col: str = "text", size: int = 400,
     rest goes too. Rows whose texts are equal stay equal; null text stays null."""
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), bytes_of(text_col).alias("text")).withColumn("h", F.unhex(F.md5("text")))
     sizes, count, cut = ((passage,), words, "passages") if passage else ((size,), None, "spans")
-    found = _repeats(whole.select("h", "text"), sizes, count, cut, w, block, head, run_rows, range_rows, sample, broadcast_rows, True)
+    found = _repeats(whole.select("h", "text"), sizes, count, size, cut, w, block, head, run_rows, range_rows, sample, broadcast_rows, True)
     joined = whole.select("row", "h").join(found.select("h", "kept"), "h", "left")
     kept = F.coalesce("kept", F.col("row").getField(text_col))
     return joined.select(*((kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns))
