@@ -3,8 +3,8 @@
 Rules (host, path, verdict) fit their host and its subdomains where the path starts with the
 rule's; the longest wins. They also label the tree that judges the URLs no rule fits:
 
-1. Path segments are typed (numbers, hexadecimal runs) and cut to ``depth``; URLs of one host
-   and typed path are one shape, aggregated before anything is joined.
+1. Path segments are typed (numbers, hexadecimal runs); URLs of one host and typed path are
+   one shape, aggregated before anything is joined. Paths of any depth are told apart.
 2. Every prefix of a shape is a node of its host's tree, with counts of URLs and labels. A
    child whose share of blocked labels does not differ from its parent's (chi-square below
    ``z2``), or that has no labels, merges into the parent's wildcard; the others stay.
@@ -64,7 +64,6 @@ def judge_urls(
     *,
     id_col: str = "page_id",
     url_col: str = "url",
-    depth: int = 4,
     z2: float = 3.84,
     smooth: float = 2.0,
 ) -> DataFrame:
@@ -75,7 +74,7 @@ def judge_urls(
         with_host_and_path(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
         .withColumn("rule", rule)
         .withColumn("says", says)
-        .withColumn("segs", F.slice(F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed), 1, depth))
+        .withColumn("segs", F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed))
         .withColumn("shape", F.array_join("segs", "/"))
     )
     labelled, blocked = F.col("rule").isNotNull().cast("long"), F.coalesce((F.col("says") == "block").cast("long"), F.lit(0))
@@ -85,7 +84,7 @@ def judge_urls(
         shapes.where("shape <> ''")
         .withColumn("segs", F.split("shape", "/"))
         .select("host", "shape", "l", "b", "segs", at.alias("i"))
-        .select("host", "shape", "l", "b", "i", F.expr("array_join(slice(segs, 1, i - 1), '/')").alias("parent"), F.expr("segs[i - 1]").alias("seg"))
+        .select("host", "shape", "l", "b", "i", F.expr("unhex(md5(array_join(slice(segs, 1, i - 1), '/')))").alias("parent"), F.expr("segs[i - 1]").alias("seg"))
     )
     nodes = steps.groupBy("host", "i", "parent", "seg").agg(F.sum("l").alias("l"), F.sum("b").alias("b"))
     parents = nodes.groupBy("host", "i", "parent").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"))
@@ -132,7 +131,7 @@ SQL = r"""
             WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
         END AS rule,
-        array_to_string(list_transform(list_filter(string_split(path, '/'), lambda s: s <> '')[1:4], lambda s: CASE
+        array_to_string(list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: CASE
             WHEN regexp_full_match(s, '[0-9]+') THEN '<n>' WHEN regexp_full_match(s, '[0-9a-f]{8,}') THEN '<h>'
             ELSE translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END), '/') AS shape
         FROM q
