@@ -103,10 +103,17 @@ def _scored(model: CumulativeLink, bits: int, schema: pa.Schema):
     return run
 
 
-def train(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "quality", bits: int = 11, sample: int = 3000) -> CumulativeLink:
+def train(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "quality", bits: int = 11, sample: int = 3000, rows_in_all: int = 12_000, most_grades: int = 256) -> CumulativeLink:
+    """Fit on at most ``sample`` rated documents a grade and ``rows_in_all`` in all (4 KB each on
+    the driver). Every grade takes part; more than ``most_grades`` raise ValueError. Null ids,
+    null grades and ratings without a document are left out; of ratings of one document the
+    last drawn counts; with fewer than two grades all documents get the one."""
     rated = ratings.select(F.col(id_col).cast("long").alias("__id"), F.col(grade_col).cast("int").alias("__grade")).dropna()
-    counts = {r["__grade"]: r["n"] for r in rated.groupBy("__grade").agg(F.count(F.lit(1)).alias("n")).orderBy("__grade").limit(64).collect()}
+    counts = {r["__grade"]: r["n"] for r in rated.groupBy("__grade").agg(F.count(F.lit(1)).alias("n")).orderBy("__grade").limit(most_grades + 1).collect()}
+    if len(counts) > most_grades:
+        raise ValueError(f"more than {most_grades} grades")
     total = sum(counts.values())
+    sample = max(1, min(sample, rows_in_all // max(1, len(counts))))
     drawn = [(r["__id"], g) for g in counts for r in rated.where(F.col("__grade") == g).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
     grade = dict(drawn)
     if len(counts) < 2:
