@@ -109,10 +109,13 @@ def identify_languages(
     shard: int = 512,
     confidence: float = 0.6,
     broadcast_hosts: int = 50_000,
+    spread: int = 32,
 ) -> DataFrame:
     """The documents with __language, __confidence and __rejected.
 
-    ``broadcast_hosts``: up to so many hosts' priors are broadcast, more meet by a shuffle.
+    Without ``suffix_col`` the address suffix is what follows the host's last dot, if that is a
+    declared language. ``broadcast_hosts``: up to so many hosts' priors are broadcast; more meet
+    their documents by a shuffle, each host in ``spread`` places.
     """
     declared = docs.where(F.col(declared_col).isNotNull()).groupBy(F.col(declared_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     found = {r.lang: r.n for r in declared.collect()}  # a row a language
@@ -129,8 +132,14 @@ def identify_languages(
         each = each.join(F.broadcast(numbers), "__lang").groupBy("__host").agg(F.collect_list(F.struct(F.col("__i").alias("i"), "n")).alias("x"))
         hosts = each.select("__host", F.col("x.i").alias("__which"), F.col("x.n").alias("__many"))
         if hosts.count() <= broadcast_hosts:
-            hosts = F.broadcast(hosts)
-        out = out.join(hosts, F.col(host_col) == F.col("__host"), "left").drop("__host")
+            out = out.join(F.broadcast(hosts), F.col(host_col) == F.col("__host"), "left").drop("__host")
+        else:  # a host's documents meet its prior in several places
+            hosts = hosts.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+            place = F.pmod(F.xxhash64(text_col), F.lit(spread)).cast("int")
+            out = out.join(hosts, (F.col(host_col) == F.col("__host")) & (place == F.col("__place")), "left").drop("__host", "__place")
+        if not suffix_col:
+            out, own = out.withColumn("__suffix", F.nullif(F.regexp_extract(F.lower(F.col(host_col)), r"\.([a-z]+)\.?$", 1), F.lit(""))), {"suffix": "__suffix"}
+            columns |= own
     schema = pa.schema([("lang", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
     for first in range(0, len(langs), shard):
