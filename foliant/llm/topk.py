@@ -101,7 +101,7 @@ def top_k(
     every: int = 100,
     k: int = 10,
     scale: int = 1024,
-    query_block: int = 2048,
+    query_block: int = 8192,
     candidate_block: int = 8192,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each row whose id is divisible
