@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; only where it is unset (tests, notebooks)
-    a temporary folder of this machine."""
+    """The folder that spark.checkpoint.dir names. Only where it is unset and driver and
+    executors are one process (tests, notebooks) a temporary folder of this machine; on a
+    cluster each executor would write to its own disk, so that raises."""
     at = spark.sparkContext._jsc.sc().getCheckpointDir()
     if at.isEmpty():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="foliant-ckpt-")
-        )
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliant-ckpt-"))
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
     return spark.conf.get("spark.checkpoint.dir", None) or at.get()
 
@@ -44,6 +47,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Scratch:
     """Written tables of one operator that go when they are no longer needed."""
 
@@ -62,9 +71,7 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            _, path = self._paths.pop(id(t))
-            at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+            removed(self._spark, self._paths.pop(id(t))[1])
 
     def keep(self, table: DataFrame) -> DataFrame:
         """Drop all but this table, which the caller's result reads."""
