@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import table
+from foliant.llm.common import removed, shared_folder, table, written
 from foliant.llm.decontamination import find_contamination
 from foliant.llm.language_id import identify_languages
 from foliant.llm.near_dedup import near_duplicate_groups
@@ -23,8 +23,15 @@ from foliant.llm.suffix_dedup import remove_repeats
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with __row, a number of their own. They are written first: numbers made
+    while reading could differ between two reads, or after a lost executor."""
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters or without a likely language go."""
+    """Documents without letters (null and empty texts too) or without a likely language go.
+    Of equally likely languages the first by name counts; an empty table stays empty."""
     found = identify_languages(docs)
     return found.where(~F.col("__rejected")).select(*docs.columns)
 
@@ -33,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate group the document of the smallest id stays. Repeated rows of
     that id are one document; a group without ids keeps one row. Documents without words are
     groups of their own."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    numbered = _numbered(docs)
     # groups are found for rows, so that null and repeated ids can't be mistaken
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     found = near_duplicate_groups(numbered, id_col="__row").select(F.col("doc_id").alias("__row"), "component")
@@ -49,15 +56,17 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    """Documents that hold a window of a benchmark item go. Null and empty texts hold none;
+    repeated rows go or stay together."""
+    numbered = _numbered(docs)
     found = find_contamination(numbered, table(spark, sf_dir, "benchmark"), id_col="__row")
     hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__row"))
     return numbered.join(hit, "__row", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens."""
+    """Pieces of documents in sequences of at most 1024 tokens. A null or empty text is its end
+    token alone; repeated rows and null ids are packed as documents of their own."""
     path = public_tokenizers.path
     return pack_documents(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 
@@ -73,12 +82,13 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result but the last is written to the shared folder
-    and read again."""
-    from foliant.llm.common import shared_folder
-
-    docs = table(spark, sf_dir, "documents")
+    and read again, and goes when the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            removed(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
