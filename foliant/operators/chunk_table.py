@@ -34,3 +34,14 @@ def chunk_table(blocks: DataFrame) -> DataFrame:
         "doc_id", "island", kind.alias("chunk_kind"), "page_start", "page_end", "section_path", "title_text", ids.alias("source_block_ids"), F.size(ids).alias("n_blocks"), bbox_union(boxes).alias("bbox"),
         F.col("text").alias("text_raw"), titled.alias("text_with_title"), F.col("__t.headers").alias("headers"), F.col("__t.pairs").alias("pairs"), F.col("__t.rows").alias("rows"),
     )
+
+
+def with_section_columns(chunks: DataFrame) -> DataFrame:
+    """Chunks with chunk_id (struct_chunk_id where there is none) and the columns that say that
+    paths and titles are the original ones."""
+    if not {"chunk_id", "struct_chunk_id"} & set(chunks.columns):
+        raise ValueError("chunks need chunk_id or struct_chunk_id")
+    out = chunks if "chunk_id" in chunks.columns else chunks.withColumn("chunk_id", F.col("struct_chunk_id"))
+    own = {c: F.coalesce(c, F.lit("")) if c in out.columns else F.lit("") for c in ("section_path", "title_text")}
+    same = {f"{c}_{k}": v for c, v in own.items() for k in ("original", "enriched")}
+    return out.withColumns(own | same | {"heading_text_inferred": F.lit(""), "heading_level_inferred": F.lit(0), "heading_source": F.lit("original"), "section_enrichment_confidence": F.lit(1.0)})

@@ -81,14 +81,15 @@ def window_bounds(words: Column, most: int, overlap: int) -> Column:
     return F.when(n == 0, empty).when(total <= most, whole).otherwise(many)
 
 
-def context_windows(clauses: DataFrame, keys: list[str], order: list[str], text_col: str, most: int = 2500, overlap: int = 2) -> DataFrame:
-    """One row per window: its index, clause range, words and text (clauses by blank lines)."""
-    c = F.array_sort(F.collect_list(F.struct(*order, F.col(text_col).alias("t"))))
+def context_windows(clauses: DataFrame, keys: list[str], order: list[str], text_col: str, most: int = 2500, overlap: int = 2, id_col: str | None = None) -> DataFrame:
+    """One row per window: its index, clause range, words and text (clauses by blank lines);
+    with ``id_col`` also clause_ids, the ids of its clauses."""
+    c = F.array_sort(F.collect_list(F.struct(*order, F.col(text_col).alias("t"), F.col(id_col or text_col).alias("id"))))
     doc = clauses.where(F.trim(F.coalesce(text_col, F.lit(""))) != "").groupBy(*keys).agg(c.alias("c"))
-    doc = doc.select(*keys, F.col("c.t").alias("t")).withColumn("w", F.transform("t", word_count))
-    rows = doc.select(*keys, "t", "w", F.posexplode(window_bounds(F.col("w"), most, overlap)).alias("window_index", "x"))
+    doc = doc.select(*keys, F.col("c.t").alias("t"), F.col("c.id").alias("id")).withColumn("w", F.transform("t", word_count))
+    rows = doc.select(*keys, "t", "w", "id", F.posexplode(window_bounds(F.col("w"), most, overlap)).alias("window_index", "x"))
     part = lambda a: F.slice(a, F.col("x.start") + 1, F.col("x.end") - F.col("x.start"))
     return rows.select(
         *keys, "window_index", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.aggregate(part(F.col("w")), F.lit(0), lambda a, x: (a + x).cast("int")).alias("n_words"),
-        F.array_join(part(F.col("t")), "\n\n").alias("context_text"), (F.col("window_index") > 0).alias("is_continuation"),
+        F.array_join(part(F.col("t")), "\n\n").alias("context_text"), (F.col("window_index") > 0).alias("is_continuation"), *([part(F.col("id")).alias("clause_ids")] if id_col else []),
     )

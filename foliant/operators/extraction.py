@@ -5,6 +5,9 @@ No model is called here; the client is any picklable function from prompt to ans
 
 from __future__ import annotations
 
+import json
+import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -22,21 +25,38 @@ def cache_key(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
 
 
-def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3) -> DataFrame:
+def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3, wait: float = 1.0, again: Callable[[str], str | None] | None = None) -> DataFrame:
     """(cache_key, answer, error) for (cache_key, prompt) rows: known answers from the cache,
-    the others from the client. Errors are told, and asked again the next time."""
+    the others from the client. Errors are told, and asked again the next time.
+
+    After an error of the client the next try waits (``wait`` seconds, doubled each time), after
+    an answer that is no JSON it doesn't. ``again`` may look at an answer and give what to add
+    to the prompt for another try."""
     keys = windows.select("cache_key", "prompt").dropDuplicates(["cache_key"])
     known = cache.where("error IS NULL").select("cache_key", "answer", "error") if cache is not None else None
     todo = keys.join(known, "cache_key", "left_anti") if known is not None else keys
 
     def ask(prompt: str) -> tuple[str | None, str | None]:
-        error = None
-        for _ in range(tries):
+        answer, error, more = None, None, ""
+        for i in range(tries):
             try:
-                return client(prompt), None
+                answer = client(prompt + more)
             except Exception as e:  # noqa: BLE001 - told in the row
                 error = repr(e)
-        return None, error
+                if i + 1 < tries:
+                    time.sleep(wait * 2**i)
+                continue
+            try:
+                json.loads(re.sub(r"^\s*```(?:json)?\s*|\s*```\s*$", "", answer or ""))
+                error = None
+            except ValueError as e:
+                answer, error = None, f"no JSON: {e}"
+                continue
+            asked = again(answer) if again else None
+            if not asked:
+                return answer, None
+            more = f"\n\n{asked}"
+        return (answer, None) if answer is not None else (None, error)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -55,6 +75,25 @@ def parse_items(answer: Column) -> Column:
     return F.coalesce(F.when(x.startswith("["), listed).otherwise(held), F.array().cast(f"array<{_ITEM}>"))
 
 
+_GROUP = "struct<display_headline:string,item_type:string,module:string,theme:string,visual_priority:string,source_item_ids:array<string>,item_ids:array<string>>"
+
+
+def group_rows(answers: DataFrame, keys: list[str], answer: str = "answer") -> DataFrame:
+    """The groups of a choosing answer as ``completed`` takes them: group_index, item_ids and what
+    a group says of itself; answers that can't be read give none."""
+    x = F.regexp_replace(F.coalesce(answer, F.lit("")), r"^\s*```(?:json)?\s*|\s*```\s*$|^\s+", "")
+    held = F.from_json(x, f"struct<selected_groups:array<{_GROUP}>,selected_items:array<{_GROUP}>>")
+    groups = F.coalesce(held["selected_groups"], held["selected_items"], F.array().cast(f"array<{_GROUP}>"))
+    rows = answers.select(*keys, F.posexplode(groups).alias("group_index", "g")).where("g IS NOT NULL")
+    ids = F.coalesce("g.source_item_ids", "g.item_ids", F.array().cast("array<string>"))
+    return rows.select(*keys, "group_index", ids.alias("item_ids"), "g.display_headline", "g.item_type", "g.module", "g.theme", F.col("g.visual_priority").try_cast("int").alias("visual_priority"))
+
+
+def with_extraction_ids(items: DataFrame, number: str) -> DataFrame:
+    """extraction_id out of a running number from 0."""
+    return items.withColumn("extraction_id", F.format_string("ext_%06d", F.col(number).cast("long")))
+
+
 def item_rows(answers: DataFrame, keys: list[str], answer: str = "answer") -> DataFrame:
     """One row per item: unknown types are covered, a missing module is general, missing
     importance 3, missing lists empty; items whose importance is no integer are dropped."""

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from foliant.functions.text import box_of, escape_html, ids_of, integer_or, normalise_space, page_reference, short_clause_id, truncate, truncate_after, word_count
 from foliant.operators.choice import TARGETS, filtered_summary, prefiltered, run_cost, run_metadata, workload
+from foliant.operators.chunk_table import with_section_columns
+from foliant.operators.extraction import group_rows, with_extraction_ids
 from foliant.operators.matching import validate_items
+from foliant.operators.numbering import numbered
 from foliant.operators.selection import composite_score, polarity_override, section_score, specificity, visual_priority
 from foliant.operators.summary import MODULE_BUCKETS, MODULES, entries, summarise
+from foliant.sources.stages import in_order
 
 LEAST, MOST = 12, 14
 
@@ -150,7 +154,34 @@ def text_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (summary_choice, choice_metadata, bucket_candidates, run_workload, run_dollars, summary_entries, section_scores, column_roles, fuzzy_quotes, quote_statuses, text_helpers)}
+def group_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that choose: groups under two names, ids under two names, what can't be read."""
+    k, w = F.col("event_id"), F.lit
+    one = F.concat(w('{"display_headline": "h'), F.col("user_id"), w('", "visual_priority": '), F.when(k % 3 == 0, '"x"').otherwise((k % 3).cast("string")), w(', "source_item_ids": ["a'), k, w('", "b"]}'))
+    answer = F.when(k % 4 == 0, F.concat(w('```json\n{"selected_groups": ['), one, w(', {"item_ids": ["c"]}]}\n```'))).when(k % 4 == 1, F.concat(w('{"selected_items": ['), one, w("]}"))).when(k % 4 == 2, "no json")
+    g = group_rows(_t(spark, sf_dir, "events").select("event_id", answer.alias("answer")), ["event_id"])
+    return g.select("event_id", F.col("group_index").cast("long").alias("place"), F.array_join("item_ids", ",").alias("ids"), "display_headline", F.col("visual_priority").cast("long").alias("priority"))
+
+
+def given_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in a caller's order: repeated ids stay, unknown ones go."""
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"))
+    return in_order(d, ["17", "3", "none", "17", "-1"]).select(F.col("place").cast("long").alias("place"), "doc_id")
+
+
+def section_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as chunks that only know the id of their structure."""
+    p = _t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("struct_chunk_id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).alias("section_path"))
+    return with_section_columns(p).select("chunk_id", "section_path_original", "section_path_enriched", "title_text_original", "heading_source", F.col("heading_level_inferred").cast("long").alias("level"), "section_enrichment_confidence")
+
+
+def extraction_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as items, numbered through all conversations."""
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), "conv_id", "turn")
+    return with_extraction_ids(numbered(c, "doc_id", ["turn"], "n"), "n").select("conv_id", "turn", "extraction_id")
+
+
+QUERIES = {f.__name__: f for f in (group_answers, given_order, section_columns, extraction_ids, summary_choice, choice_metadata, bucket_candidates, run_workload, run_dollars, summary_entries, section_scores, column_roles, fuzzy_quotes, quote_statuses, text_helpers)}
 
 _list = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
 _RANK = "prio, score DESC, headline, item_id"
@@ -192,6 +223,11 @@ _FUZZY = r"""c AS (SELECT conv_id, turn, 't' || turn || '-' || regexp_replace(lo
     s AS (SELECT conv_id, turn, CASE WHEN conv_id % 2 = 0 THEN 'verified' ELSE 'fuzzy_match' END AS status, CASE WHEN conv_id % 2 = 0 THEN 0.98::DOUBLE ELSE 0.92::DOUBLE END AS score FROM c WHERE length(t) >= 60)"""
 
 ORACLE_SQL = {
+    "group_answers": """WITH e AS (SELECT event_id AS k, user_id FROM events WHERE event_id % 4 < 2)
+        SELECT k AS event_id, CAST(0 AS BIGINT) AS place, 'a' || k || ',b' AS ids, 'h' || user_id AS display_headline, CASE WHEN k % 3 <> 0 THEN k % 3 END AS priority FROM e UNION ALL SELECT k, 1, 'c', NULL, NULL FROM e WHERE k % 4 = 0""",
+    "given_order": "SELECT CAST(o.place AS BIGINT) AS place, o.doc_id FROM (VALUES (0, '17'), (1, '3'), (2, 'none'), (3, '17'), (4, '-1')) o(place, doc_id) WHERE o.doc_id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)",
+    "section_columns": "SELECT CAST(p_partkey AS VARCHAR) AS chunk_id, p AS section_path_original, p AS section_path_enriched, '' AS title_text_original, 'original' AS heading_source, CAST(0 AS BIGINT) AS level, 1.0::DOUBLE AS section_enrichment_confidence FROM (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS p FROM part)",
+    "extraction_ids": "SELECT conv_id, turn, 'ext_' || lpad(CAST(row_number() OVER (ORDER BY CAST(conv_id AS VARCHAR), turn) - 1 AS VARCHAR), 6, '0') AS extraction_id FROM conversations",
     "summary_choice": f"{_CHAIN} SELECT * FROM z",
     "choice_metadata": f"""{_CHAIN}, k AS (SELECT doc_id, count(*) AS filtered_items, CAST(sum(merged_count) AS BIGINT) AS selected_source_items, count(*) FILTER (reason = 'fallback') AS fallback_items, count(*) FILTER (reason = 'minimum') AS minimum_items, count(*) FILTER (reason = 'balance') AS balance_items FROM z GROUP BY doc_id),
         bad AS (SELECT doc, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM w WHERE starts_with(item_id, 'nope') GROUP BY doc)

@@ -35,6 +35,31 @@ def convert(pdfs: DataFrame, converter: Callable[[bytes], str], done: DataFrame
     return todo.select("doc_id", "content").mapInPandas(run, "doc_id string, json string")
 
 
+def in_order(df: DataFrame, doc_ids: Iterable[str] | None) -> DataFrame:
+    """(place, doc_id): the documents there are, by name or, if ids are given, in their order,
+    repeated ones repeatedly, unknown ones not at all."""
+    names = df.select(F.col("doc_id").cast("string").alias("doc_id")).distinct()
+    if doc_ids is None:
+        return names.select("doc_id").withColumn("place", F.lit(None).cast("int"))
+    given = df.sparkSession.createDataFrame(list(enumerate(doc_ids)), "place int, doc_id string")
+    return given.join(names, "doc_id", "left_semi")
+
+
+def required(df: DataFrame, doc_ids: Iterable[str]) -> DataFrame:
+    """The rows of the documents; an error that names those without any."""
+    wanted = df.sparkSession.createDataFrame([(d,) for d in set(doc_ids)], "doc_id string")
+    lost = sorted(r.doc_id for r in wanted.join(df.select("doc_id"), "doc_id", "left_anti").collect())  # at most the ids given
+    if lost:
+        raise LookupError("no rows of " + ", ".join(lost))
+    return only(df, doc_ids)
+
+
+def read_summaries(spark: SparkSession, path: str, schema: str, doc_ids: Iterable[str] | None = None, name: str = "visual_summary_items.json") -> DataFrame:
+    """Summaries of a folder of documents, each a JSON file in the folder of its document."""
+    df = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", name).json(path)
+    return only(df.withColumn("doc_id", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)), doc_ids)
+
+
 def only(df: DataFrame, doc_ids: Iterable[str] | None) -> DataFrame:
     return df if doc_ids is None else df.where(F.col("doc_id").isin(*set(doc_ids)))
 
@@ -82,5 +107,9 @@ class Stages:
         """One folder of JSON lines a document."""
         df.write.mode("overwrite").partitionBy("doc_id").json(f"{self.root}/{name}")
 
+    def texts(self, name: str, df: DataFrame, column: str) -> None:
+        """One folder of a text file a document."""
+        df.select("doc_id", column).write.mode("overwrite").partitionBy("doc_id").text(f"{self.root}/{name}")
+
     def read_documents(self, name: str, schema: str, doc_ids: Iterable[str] | None = None) -> DataFrame:
         return only(self.spark.read.schema(schema).json(f"{self.root}/{name}"), doc_ids)
