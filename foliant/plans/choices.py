@@ -160,7 +160,7 @@ def group_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.concat(w('{"display_headline": "h'), F.col("user_id"), w('", "visual_priority": '), F.when(k % 3 == 0, '"x"').otherwise((k % 3).cast("string")), w(', "source_item_ids": ["a'), k, w('", "b"]}'))
     answer = F.when(k % 4 == 0, F.concat(w('```json\n{"selected_groups": ['), one, w(', {"item_ids": ["c"]}]}\n```'))).when(k % 4 == 1, F.concat(w('{"selected_items": ['), one, w("]}"))).when(k % 4 == 2, "no json")
     g = group_rows(_t(spark, sf_dir, "events").select("event_id", answer.alias("answer")), ["event_id"])
-    return g.select("event_id", F.col("group_index").cast("long").alias("place"), F.array_join("item_ids", ",").alias("ids"), "display_headline", F.col("visual_priority").cast("long").alias("priority"))
+    return g.select("event_id", F.col("group_index").cast("long").alias("place"), F.array_join("item_ids", ",").alias("ids"), "display_headline", F.coalesce(F.col("visual_priority").cast("long"), F.lit(0)).alias("priority"))
 
 
 def given_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +224,7 @@ _FUZZY = r"""c AS (SELECT conv_id, turn, 't' || turn || '-' || regexp_replace(lo
 
 ORACLE_SQL = {
     "group_answers": """WITH e AS (SELECT event_id AS k, user_id FROM events WHERE event_id % 4 < 2)
-        SELECT k AS event_id, CAST(0 AS BIGINT) AS place, 'a' || k || ',b' AS ids, 'h' || user_id AS display_headline, CASE WHEN k % 3 <> 0 THEN k % 3 END AS priority FROM e UNION ALL SELECT k, 1, 'c', NULL, NULL FROM e WHERE k % 4 = 0""",
+        SELECT k AS event_id, CAST(0 AS BIGINT) AS place, 'a' || k || ',b' AS ids, 'h' || user_id AS display_headline, CASE WHEN k % 3 <> 0 THEN k % 3 ELSE 0 END AS priority FROM e UNION ALL SELECT k, 1, 'c', NULL, 0 FROM e WHERE k % 4 = 0""",
     "given_order": "SELECT CAST(o.place AS BIGINT) AS place, o.doc_id FROM (VALUES (0, '17'), (1, '3'), (2, 'none'), (3, '17'), (4, '-1')) o(place, doc_id) WHERE o.doc_id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)",
     "section_columns": "SELECT CAST(p_partkey AS VARCHAR) AS chunk_id, p AS section_path_original, p AS section_path_enriched, '' AS title_text_original, 'original' AS heading_source, CAST(0 AS BIGINT) AS level, 1.0::DOUBLE AS section_enrichment_confidence FROM (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS p FROM part)",
     "extraction_ids": "SELECT conv_id, turn, 'ext_' || lpad(CAST(row_number() OVER (ORDER BY CAST(conv_id AS VARCHAR), turn) - 1 AS VARCHAR), 6, '0') AS extraction_id FROM conversations",
