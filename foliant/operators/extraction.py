@@ -25,12 +25,12 @@ def cache_key(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
 
 
-def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3, wait: float = 1.0, again: Callable[[str], str | None] | None = None) -> DataFrame:
+def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3, wait: float = 1.0, as_json: bool = False, again: Callable[[str], str | None] | None = None) -> DataFrame:
     """(cache_key, answer, error) for (cache_key, prompt) rows: known answers from the cache,
     the others from the client. Errors are told, and asked again the next time.
 
-    After an error of the client the next try waits (``wait`` seconds, doubled each time), after
-    an answer that is no JSON it doesn't. ``again`` may look at an answer and give what to add
+    After an error of the client the next try waits (``wait`` seconds, doubled each time); with
+    ``as_json`` an answer that is no JSON is an error too, which doesn't wait. ``again`` may look at an answer and give what to add
     to the prompt for another try."""
     keys = windows.select("cache_key", "prompt").dropDuplicates(["cache_key"])
     known = cache.where("error IS NULL").select("cache_key", "answer", "error") if cache is not None else None
@@ -46,9 +46,10 @@ def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFram
                 if i + 1 < tries:
                     time.sleep(wait * 2**i)
                 continue
+            error = None
             try:
-                json.loads(re.sub(r"^\s*```(?:json)?\s*|\s*```\s*$", "", answer or ""))
-                error = None
+                if as_json:
+                    json.loads(re.sub(r"^\s*```(?:json)?\s*|\s*```\s*$", "", answer or ""))
             except ValueError as e:
                 answer, error = None, f"no JSON: {e}"
                 continue

@@ -70,7 +70,7 @@ def chosen_entries(items: DataFrame, client: Callable[[str], str] | None = None,
         item = compact_item(*(F.col(c) for c in ("item_id", "bucket", "module", "item_type", "theme", "headline", "exact_quote", "importance")))
         asked = few.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("i")).withColumn("prompt", selection_prompt(F.col("doc_id"), F.col("i")))
         asked = asked.withColumn("cache_key", cache_key(F.col("prompt")))
-        groups = group_rows(asked.select("doc_id", "cache_key").join(call_model(asked, client, cache), "cache_key"), ["doc_id"])
+        groups = group_rows(asked.select("doc_id", "cache_key").join(call_model(asked, client, cache, as_json=True), "cache_key"), ["doc_id"])
     found = filtered_summary(groups, shown, ["doc_id"])
     return found, run_metadata(found, groups, shown, ["doc_id"])
 
@@ -91,7 +91,7 @@ def run(spark: SparkSession, layout: str, out: str, client: Callable[[str], str]
     s.csv("cost", run_cost(windows, "n_words", model))
     if client is None:
         return windows
-    answers = s.table("answers", lambda: call_model(windows, client), again("items"))
+    answers = s.table("answers", lambda: call_model(windows, client, as_json=True), again("items"))
     items = s.table("items", lambda: checked_items(answers, windows, clauses), again("items"))
     s.csv("statuses", items.groupBy("validation_status").agg(F.count(F.lit(1)).alias("n")))
     found, did = chosen_entries(items, chooser)

@@ -78,7 +78,7 @@ def test_tries(spark):
         return '{"n": 2}' if "more" in prompt else '{"n": 1}'
 
     asked = spark.createDataFrame([("a", "down"), ("b", "text"), ("c", "ask")], "cache_key string, prompt string")
-    got = {r.cache_key: r for r in call_model(asked, flaky, wait=0.0, again=lambda x: "more" if '"n": 1' in x else None).collect()}
+    got = {r.cache_key: r for r in call_model(asked, flaky, wait=0.0, as_json=True, again=lambda x: "more" if '"n": 1' in x else None).collect()}
     assert "down" in got["a"].error and got["b"].error.startswith("no JSON") and got["c"].answer == '{"n": 2}' and calls == {"bad": 0}
 
 
