@@ -37,13 +37,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the document of the smallest id stays. Repeated rows of
+    """Of each near-duplicate group (five words, a similarity of 0.8 or more) the document of
+    the smallest id stays. Repeated rows of
     that id are one document; a group without ids keeps one row. Documents without words are
     groups of their own."""
     numbered = _numbered(docs)
     # groups are found for rows, so that null and repeated ids can't be mistaken
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    found = near_duplicate_groups(numbered, id_col="__row").select(F.col("doc_id").alias("__row"), "component")
+    found = near_duplicate_groups(numbered, id_col="__row", percent=80).select(F.col("doc_id").alias("__row"), "component")
     first = numbered.select("__row", order.alias("o")).join(found, "__row").groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.__row").alias("__row"))
     return numbered.join(first, "__row", "left_semi").select(*docs.columns)
 
