@@ -89,8 +89,35 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256", "n_passage", passages)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from foliant.llm.filter_audit import words
+    from foliant.llm.periodic_runs import periodic_runs
+
+    c = F.col
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(c("doc_id").cast("string")).alias("h")).withColumn("w", F.when(c("h") % 10 == 0, words(c("text"))))
+    docs = docs.withColumns({"n": F.size("w").cast("long"), "g": F.floor(c("h") / 10)})
+    docs = docs.withColumn("a", F.when(c("n") > 0, c("g") % c("n"))).withColumn("p", 1 + F.floor((c("n") - c("a")) / (3 + c("g") % 8)))
+    again = F.flatten(F.array_repeat(F.slice("w", c("a").cast("int") + 1, c("p").cast("int")), F.ceil((c("n") - c("a")) / c("p")).cast("int")))
+    tiled = F.concat(F.slice("w", F.lit(1), c("a").cast("int")), F.slice(again, F.lit(1), (c("n") - c("a")).cast("int")))
+    planted = docs.select("doc_id", F.when(c("n") > 0, F.array_join(tiled, " ")).otherwise(c("text")).alias("text"))
+    found = periodic_runs(planted)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period", F.floor(1000 * c("strongest.length") / c("strongest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.filter_audit import audit, text_filters
+
+    return audit(text_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "part", [*"ABCDE"], ["good", "toxic"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_license_scan, op7_language_id, op8_toxicity, op9_minhash_dedup, op10_suffix_dedup)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_license_scan, op7_language_id, op8_toxicity, op9_minhash_dedup, op10_suffix_dedup, op11_periodic_runs, op12_filter_audit)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -148,4 +175,35 @@ ORACLE_SQL: dict[str, str] = {
         ), c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
         SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
     """,
+    "op12_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents
+        ), w AS (
+            SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY x) AS first FROM t
+        ), l AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x),
+                    regexp_matches(x, '[#$%&*|]'), coalesce(w.doc_id > first, false)] AS f
+            FROM w LEFT JOIN l USING (doc_id)
+        ), m AS (
+            SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY part, f
+        ), i AS (SELECT unnest([1, 2, 3, 4, 5]) AS i), o AS (
+            SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+        ), s AS (
+            SELECT part, o, s.i AS step, n, good, toxic, f[o[s.i]] AS fails, coalesce(list_position(list_transform(o, lambda k: f[k]), true), 6) AS gone,
+                   len(list_filter(f, lambda x: x)) AS many
+            FROM m, o, i s
+        ), r AS (
+            SELECT part, o, step, o[step] AS k, sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed, sum(n) FILTER (fails AND gone < step) AS redundant,
+                   sum(n) FILTER (fails AND many = 1) AS unique_fails, sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+            FROM s GROUP BY part, o, step
+        )
+        SELECT part, list_aggregate(list_transform(o, lambda k: substr('ABCDE', k, 1)), 'string_agg', '') AS filter_order, CAST(step AS INTEGER) AS step,
+               CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+               CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, k), 0) AS BIGINT) AS shapley
+        FROM r
+    """,
 }
