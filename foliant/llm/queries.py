@@ -116,8 +116,14 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(text_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "part", [*"ABCDE"], ["good", "toxic"])
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.jaccard_join import similar_groups
+
+    return similar_groups(table(spark, sf_dir, "documents")).drop("component")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_license_scan, op7_language_id, op8_toxicity, op9_minhash_dedup, op10_suffix_dedup, op11_periodic_runs, op12_filter_audit)
+    f.__name__: f for f in (op1_exact_topk, op2_packing, op3_quality, op4_decontamination, op5_url_filter, op6_license_scan, op7_language_id, op8_toxicity, op9_minhash_dedup, op10_suffix_dedup, op11_periodic_runs, op12_filter_audit, op13_jaccard_join)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -207,3 +213,6 @@ ORACLE_SQL: dict[str, str] = {
         FROM r
     """,
 }
+
+_PAIRS = ORACLE_SQL["op9_minhash_dedup"].replace("85 *", "80 *")
+ORACLE_SQL["op13_jaccard_join"] = _PAIRS.replace("component_id, doc_id = component_id AS kept", "component_id")
