@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EDGES = r"(?U)^\s+|\s+$"
-_CUT = "\U0010ffff"  # no character
+
+
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is computed once, however often f names it."""
+    return F.transform(F.array(c), f)[0]
 
 
 def normalise_space(c: Column) -> Column:
@@ -45,7 +50,7 @@ def sentences(c: Column, abbreviations: tuple[str, ...] = (), follow: str = "")
 
 def merge_dependent(parts: Column, prefixes: tuple[str, ...]) -> Column:
     """Append a sentence to the one before if that ends in a question mark or it starts with
-    one of the prefixes, regardless of case."""
+    one of the prefixes, regardless of case. The parts are computed once."""
 
     def starts(x: Column) -> Column:
         out = F.lit(False)
@@ -53,10 +58,15 @@ def merge_dependent(parts: Column, prefixes: tuple[str, ...]) -> Column:
             out = out | F.lower(x).startswith(p.lower())
         return out
 
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
-    led = F.zip_with(parts, before, lambda x, y: F.concat(F.when(y.isNull(), "").when(y.endswith("?") | starts(x), " ").otherwise(_CUT), x))
-    # one pass: the parts are joined once and cut where a sentence stands alone
-    return F.when(F.size(parts) > 0, F.split(F.array_join(F.slice(led, 1, F.size(parts)), ""), _CUT)).otherwise(F.array().cast("array<string>"))
+    def merged(parts: Column) -> Column:
+        before = F.concat(F.array(F.lit(None).cast("string")), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
+        places = F.sequence(F.lit(1), F.size(parts))
+        alone = F.zip_with(places, F.zip_with(parts, before, lambda x, y: y.isNull() | ~(y.endswith("?") | starts(x))), lambda i, own: F.when(own, i))
+        # from each sentence that stands alone up to the next one
+        until = lambda at: F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(parts) + 1))
+        return bound(F.array_compact(alone), lambda at: F.zip_with(at, until(at), lambda i, j: F.array_join(F.slice(parts, i, j - i), " ")))
+
+    return bound(F.coalesce(parts, F.array().cast("array<string>")), lambda p: F.when(F.size(p) > 0, merged(p)).otherwise(p))
 
 
 def truncate(c: Column, most: int) -> Column:
