@@ -6,7 +6,9 @@ No model is called here; the client is any picklable function from prompt to ans
 from __future__ import annotations
 
 import json
+import queue
 import re
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -25,13 +27,36 @@ def cache_key(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
 
 
-def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3, wait: float = 1.0, as_json: bool = False, again: Callable[[str], str | None] | None = None) -> DataFrame:
+def _timed(client: Callable[[str], str], prompt: str, seconds: float | None) -> str:
+    if seconds is None:
+        return client(prompt)
+    got: queue.SimpleQueue = queue.SimpleQueue()
+
+    def call() -> None:
+        try:
+            got.put((client(prompt), None))
+        except Exception as e:  # noqa: BLE001 - raised where the answer is awaited
+            got.put((None, e))
+
+    threading.Thread(target=call, daemon=True).start()
+    try:
+        answer, error = got.get(timeout=seconds)
+    except queue.Empty:
+        raise TimeoutError(f"no answer in {seconds} s") from None
+    if error:
+        raise error
+    return answer
+
+
+def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFrame | None = None, tries: int = 3, wait: float = 1.0, as_json: bool = False, again: Callable[[str], str | None] | None = None, timeout: float | None = None, calls: int | None = None) -> DataFrame:
     """(cache_key, answer, error) for (cache_key, prompt) rows: known answers from the cache,
     the others from the client. Errors are told, and asked again the next time.
 
     After an error of the client the next try waits (``wait`` seconds, doubled each time); with
-    ``as_json`` an answer that is no JSON is an error too, which doesn't wait. ``again`` may look at an answer and give what to add
-    to the prompt for another try."""
+    ``as_json`` an answer that is no JSON is an error too, which doesn't wait. ``again`` may look
+    at an answer and give what to add to the prompt for another try. A call that takes longer
+    than ``timeout`` seconds is an error; its thread is left to end by itself. At most ``calls``
+    calls are under way at once."""
     keys = windows.select("cache_key", "prompt").dropDuplicates(["cache_key"])
     known = cache.where("error IS NULL").select("cache_key", "answer", "error") if cache is not None else None
     todo = keys.join(known, "cache_key", "left_anti") if known is not None else keys
@@ -40,7 +65,7 @@ def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFram
         answer, error, more = None, None, ""
         for i in range(tries):
             try:
-                answer = client(prompt + more)
+                answer = _timed(client, prompt + more, timeout)
             except Exception as e:  # noqa: BLE001 - told in the row
                 error = repr(e)
                 if i + 1 < tries:
@@ -64,7 +89,8 @@ def call_model(windows: DataFrame, client: Callable[[str], str], cache: DataFram
             got = [ask(p) for p in b["prompt"]]
             yield pd.DataFrame({"cache_key": b["cache_key"], "answer": [a for a, _ in got], "error": [e for _, e in got]}, dtype=object)
 
-    new = todo.mapInPandas(run, "cache_key string, answer string, error string")
+    # a task asks one question after the other
+    new = (todo.repartition(calls) if calls else todo).mapInPandas(run, "cache_key string, answer string, error string")
     return new if known is None else new.unionByName(known.join(keys, "cache_key", "left_semi"))
 
 
@@ -79,13 +105,17 @@ def parse_items(answer: Column) -> Column:
 _GROUP = "struct<display_headline:string,item_type:string,module:string,theme:string,visual_priority:string,source_item_ids:array<string>,item_ids:array<string>>"
 
 
+def answer_groups(answer: Column) -> Column:
+    """The groups of a choosing answer; empty if there are none or it can't be read."""
+    x = F.regexp_replace(F.coalesce(answer, F.lit("")), r"^\s*```(?:json)?\s*|\s*```\s*$|^\s+", "")
+    held = F.from_json(x, f"struct<selected_groups:array<{_GROUP}>,selected_items:array<{_GROUP}>>")
+    return F.coalesce(F.when(F.size(held["selected_groups"]) > 0, held["selected_groups"]), held["selected_items"], F.array().cast(f"array<{_GROUP}>"))
+
+
 def group_rows(answers: DataFrame, keys: list[str], answer: str = "answer") -> DataFrame:
     """The groups of a choosing answer as ``completed`` takes them: group_index, item_ids and what
     a group says of itself; answers that can't be read give none."""
-    x = F.regexp_replace(F.coalesce(answer, F.lit("")), r"^\s*```(?:json)?\s*|\s*```\s*$|^\s+", "")
-    held = F.from_json(x, f"struct<selected_groups:array<{_GROUP}>,selected_items:array<{_GROUP}>>")
-    groups = F.coalesce(held["selected_groups"], held["selected_items"], F.array().cast(f"array<{_GROUP}>"))
-    rows = answers.select(*keys, F.posexplode(groups).alias("group_index", "g")).where("g IS NOT NULL")
+    rows = answers.select(*keys, F.posexplode(answer_groups(F.col(answer))).alias("group_index", "g")).where("g IS NOT NULL")
     ids = F.coalesce("g.source_item_ids", "g.item_ids", F.array().cast("array<string>"))
     return rows.select(*keys, "group_index", ids.alias("item_ids"), "g.display_headline", "g.item_type", "g.module", "g.theme", F.col("g.visual_priority").try_cast("int").alias("visual_priority"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import hashlib
+import json
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from types import MappingProxyType
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -64,22 +67,105 @@ def only(df: DataFrame, doc_ids: Iterable[str] | None) -> DataFrame:
     return df if doc_ids is None else df.where(F.col("doc_id").isin(*set(doc_ids)))
 
 
+def fingerprint(*parts: object) -> str:
+    """24 hex digits that stand for plain values, whatever the order of their keys."""
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, ensure_ascii=False, default=str).encode()).hexdigest()[:24]
+
+
+def files_fingerprint(spark: SparkSession, path: str, pattern: str = "*.json", doc_ids: Iterable[str] | None = None, by_content: bool = False) -> str:
+    """Of the names, lengths and times of a folder's files (of the documents, if given) or, with
+    ``by_content``, of their names and contents; counted and summed where the files are listed."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    df = only(df.withColumn("doc_id", F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")), doc_ids)
+    state = [F.sha2("content", 256)] if by_content else ["length", "modificationTime"]
+    r = df.select(F.xxhash64("doc_id", *state).alias("h")).agg(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first()
+    return fingerprint(*map(str, r))
+
+
+class Files:
+    """Small files through Spark's own file systems."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+
+    def _at(self, path: str):
+        at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self._spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        at, fs = self._at(path)
+        return fs.exists(at)
+
+    def glob(self, pattern: str) -> list[str]:
+        at, fs = self._at(pattern)
+        return sorted(str(x.getPath().toString()) for x in fs.globStatus(at) or [])
+
+    def delete(self, path: str) -> None:
+        at, fs = self._at(path)
+        fs.delete(at, True)
+
+    def read(self, path: str) -> str | None:
+        at, fs = self._at(path)
+        if not fs.exists(at):
+            return None
+        stream = fs.open(at)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        at, fs = self._at(path)
+        stream = fs.create(at, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+
 class Stages:
-    """Tables of a run in one folder. A table that was written whole is not built again."""
+    """Tables and files of a run in one folder, each with a note of what it was made from.
+
+    The note holds a fingerprint of the ``inputs`` (plain values: parameters, fingerprints of
+    files) and of the notes of the tables that it was built ``after``. What is there whole and
+    under the same fingerprint is not built again; a change is passed on to all that depends on
+    it. The note goes before a table is written and comes when it is whole.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
+
+    def note(self, name: str) -> dict | None:
+        text = self.files.read(f"{self.root}/_notes/{name}.json")
+        return json.loads(text) if text else None
 
     def done(self, name: str) -> bool:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}.parquet/_SUCCESS")
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+        return self.files.exists(f"{self.root}/{name}.parquet/_SUCCESS")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
-    def table(self, name: str, build: Callable[[], DataFrame], again: bool = False) -> DataFrame:
-        if again or not self.done(name):
-            build().write.mode("overwrite").parquet(f"{self.root}/{name}.parquet")
+    def fingerprint(self, inputs: Mapping[str, object], after: Iterable[str]) -> str:
+        notes = {x: (self.note(x) or {}).get("fingerprint") for x in after}
+        return fingerprint(dict(inputs), notes)
+
+    def fresh(self, name: str, mark: str, path: str) -> bool:
+        return (self.note(name) or {}).get("fingerprint") == mark and self.files.exists(f"{path}/_SUCCESS")
+
+    def keep(self, name: str, path: str, write: Callable[[], None], inputs: Mapping[str, object], after: Iterable[str], again: bool = False) -> bool:
+        """Whether ``write`` ran: not if what it writes is there under the same fingerprint."""
+        after = tuple(after)
+        mark, note = self.fingerprint(inputs, after), f"{self.root}/_notes/{name}.json"
+        if not again and self.fresh(name, mark, path):
+            return False
+        self.files.delete(note)
+        write()
+        self.files.write(note, json.dumps({"fingerprint": mark, "inputs": dict(inputs), "after": list(after)}, default=str))
+        return True
+
+    def table(self, name: str, build: Callable[[], DataFrame], again: bool = False, *, inputs: Mapping[str, object] = MappingProxyType({}), after: Iterable[str] = ()) -> DataFrame:
+        path = f"{self.root}/{name}.parquet"
+        self.keep(name, path, lambda: build().write.mode("overwrite").parquet(path), inputs, after, again)
         return self.read(name)
 
     def numbered(self, name: str, build: Callable[[], DataFrame], order: list[str], column: str) -> DataFrame:
@@ -103,6 +189,10 @@ class Stages:
         flat = [F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes]
         df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{self.root}/{name}.csv")
 
+    def json(self, name: str, value: object) -> None:
+        """One file of indented JSON."""
+        self.files.write(f"{self.root}/{name}.json", json.dumps(value, ensure_ascii=False, indent=2, default=str))
+
     def documents(self, name: str, df: DataFrame) -> None:
         """One folder of JSON lines a document."""
         df.write.mode("overwrite").partitionBy("doc_id").json(f"{self.root}/{name}")
