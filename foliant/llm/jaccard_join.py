@@ -37,13 +37,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import Scratch, durable
+from foliant.llm import common
+from foliant.llm.common import Scratch
 from foliant.llm.components import components
 from foliant.llm.hashing import mix, shingles
 
 _TURN, _NONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd, of random bits
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """A checkpoint; then the files of the shuffles behind it may go, which Spark removes once
+    the driver has collected their objects."""
+    out = common.durable(df)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def most_different(a: int, b: int, percent: int) -> int:
     """Elements in which sets of these sizes may differ when they are similar."""
     return (a + b) * (100 - percent) // (100 + percent)
@@ -272,11 +281,11 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return sided(pairs.select("u", "v"), texts, {"text": "text"}).select("u", "v", "text_u", "text_v").mapInArrow(_verify(size, percent, pair), "u long, v long")
 
     best = near.groupBy("u").agg(F.max(F.struct("m", (-F.col("v")).alias("v"))).alias("x")).select("u", (-F.col("x.v")).alias("v"))
-    labels = components(durable(linked(best)))
+    labels = durable(components(durable(linked(best))))
     named = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
     other = near.join(best, ["u", "v"], "left_anti").join(named("u"), "u", "left").join(named("v"), "v", "left")
     links = durable(linked(other.where(F.coalesce("c_u", "u") != F.coalesce("c_v", "v"))))
-    joined = lambda more: components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    joined = lambda more: durable(components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))))
     if not links.isEmpty():
         labels = joined(links)
 
