@@ -24,16 +24,21 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with __row, a number of their own. They are written first: numbers made
-    while reading could differ between two reads, or after a lost executor."""
-    return written(docs.withColumn("__row", F.monotonically_increasing_id()))
+    """The documents, each as one struct ``row`` whatever its columns are named, and n, a number
+    of their own. They are written first: numbers made while reading could differ between two
+    reads, or after a lost executor."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return written(rows.withColumn("n", F.monotonically_increasing_id()))
+
+
+def _texts(numbered: DataFrame) -> DataFrame:
+    return numbered.select(F.col("n").alias("doc_id"), F.col("row").getField("text").alias("text"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters (null and empty texts too) or without a likely language go.
     Of equally likely languages the first by name counts; an empty table stays empty."""
-    found = identify_languages(docs)
-    return found.where(~F.col("__rejected")).select(*docs.columns)
+    return identify_languages(docs).where(~F.col("rejected")).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,15 +48,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups of their own."""
     numbered = _numbered(docs)
     # groups are found for rows, so that null and repeated ids can't be mistaken
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    found = near_duplicate_groups(numbered, id_col="__row", percent=80).select(F.col("doc_id").alias("__row"), "component")
-    first = numbered.select("__row", order.alias("o")).join(found, "__row").groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.__row").alias("__row"))
-    return numbered.join(first, "__row", "left_semi").select(*docs.columns)
+    of_row = F.col("row").getField("doc_id")
+    order = F.struct(of_row.isNull().alias("none"), of_row.alias("id"), "n")
+    found = near_duplicate_groups(_texts(numbered), percent=80).select(F.col("doc_id").alias("n"), "component")
+    first = numbered.select("n", order.alias("o")).join(found, "n").groupBy("component").agg(F.min("o").alias("o")).select("o.n")
+    return numbered.join(first, "n", "left_semi").select("row.*")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out of the texts: runs of more than 50 words (200 bytes at
-    least, four a word) or of 400 bytes. n_chars follows the text; null text stays null."""
+    least, so a run of 51 words of two letters stays) or of 400 bytes. n_chars follows the text; null text stays null."""
     cut = remove_repeats(docs, passage=200, words=50)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
@@ -60,9 +66,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold a window of a benchmark item go. Null and empty texts hold none;
     repeated rows go or stay together."""
     numbered = _numbered(docs)
-    found = find_contamination(numbered, table(spark, sf_dir, "benchmark"), id_col="__row")
-    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__row"))
-    return numbered.join(hit, "__row", "left_anti").select(*docs.columns)
+    found = find_contamination(_texts(numbered), table(spark, sf_dir, "benchmark"))
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("n"))
+    return numbered.join(hit, "n", "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,20 +108,20 @@ def train(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_c
     the driver). Every grade takes part; more than ``most_grades`` raise ValueError. Null ids,
     null grades and ratings without a document are left out; of ratings of one document the
     last drawn counts; with fewer than two grades all documents get the one."""
-    rated = ratings.select(F.col(id_col).cast("long").alias("__id"), F.col(grade_col).cast("int").alias("__grade")).dropna()
-    counts = {r["__grade"]: r["n"] for r in rated.groupBy("__grade").agg(F.count(F.lit(1)).alias("n")).orderBy("__grade").limit(most_grades + 1).collect()}
+    rated = ratings.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).dropna()
+    counts = {r["grade"]: r["n"] for r in rated.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).orderBy("grade").limit(most_grades + 1).collect()}
     if len(counts) > most_grades:
         raise ValueError(f"more than {most_grades} grades")
     total = sum(counts.values())
     sample = max(1, min(sample, rows_in_all // max(1, len(counts))))
-    drawn = [(r["__id"], g) for g in counts for r in rated.where(F.col("__grade") == g).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
+    drawn = [(r["id"], g) for g in counts for r in rated.where(F.col("grade") == g).orderBy(F.xxhash64("id"), "id").limit(sample).collect()]
     grade = dict(drawn)
     if len(counts) < 2:
         return fit(np.zeros((0, 1 << bits), np.float32), np.zeros(0, int), dict.fromkeys(counts, 1.0))
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in grade], "__id long")  # at most sample rows a grade
+    ids = spark.createDataFrame([(i,) for i in grade], "id long")  # at most sample rows a grade
     schema = pa.schema([("id", pa.int64()), ("x", pa.binary())])
-    rows = docs.join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("__id"), "left_semi").select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).join(F.broadcast(ids), "id", "left_semi")
     rows = rows.mapInArrow(_feature_rows(bits, schema), "id long, x binary").collect()
     if not rows:
         return fit(np.zeros((0, 1 << bits), np.float32), np.zeros(0, int), {g: 1.0 for g in list(counts)[:1]})

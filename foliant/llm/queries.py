@@ -60,7 +60,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliant.llm.language_id import identify_languages
 
     found = identify_languages(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.col("__language").alias("language"), F.col("__confidence").alias("confidence"), (~F.col("__rejected")).alias("kept"))
+    return found.select("row.doc_id", "language", "confidence", (~F.col("rejected")).alias("kept"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

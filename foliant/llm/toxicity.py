@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 
 #: Signs and the letters they are written for.
 LOOK_ALIKES = {"4": "a", "@": "a", "8": "b", "3": "e", "6": "g", "9": "g", "1": "il", "!": "il", "|": "il", "0": "o", "5": "s", "$": "s", "7": "t", "+": "t", "2": "z"}
+#: Log odds beyond the prior's that are tried.
+MARGINS = tuple(x / 4 for x in range(25))
 _SYMBOLS = 28  # boundary, a-z, any other letter
 _SPACED = re.compile(r"(?<![\w@$!|+])[\w@$!|+](?:[\s.\-_*~/,]{1,2}[\w@$!|+]){2,}(?![\w@$|+])")
 _SEPARATOR = re.compile(r"[\s.\-_*~/,]")
@@ -194,14 +197,32 @@ def _labelled(log_p: np.ndarray, schema: pa.Schema):
         words = Words(log_p)
         for batch in batches:
             for at in range(0, len(batch), 512):
-                n: Counter[str] = Counter()
-                toxic: Counter[str] = Counter()
-                for text, label in zip(batch.column(0).slice(at, 512).to_pylist(), batch.column(1).slice(at, 512).to_pylist(), strict=True):
-                    found = set().union(*words(text or ""))
+                n: Counter[tuple[str, int]] = Counter()
+                toxic: Counter[tuple[str, int]] = Counter()
+                for text, label, fold in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
+                    found = [(f, fold) for f in set().union(*words(text or ""))]
                     n.update(found)
                     if label:
                         toxic.update(found)
-                yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([toxic[f] for f in n], pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in n], pa.string()), pa.array([k for _, k in n], pa.int32()), pa.array(list(n.values()), pa.int64()), pa.array([toxic[f] for f in n], pa.int64())], schema=schema)
+
+    return run
+
+
+def _fold(i: int, folds: int) -> int:
+    return zlib.crc32(f"fold {i}".encode()) % folds
+
+
+def _tried(log_p: np.ndarray, parts: list[dict[str, float]], start: float, schema: pa.Schema):
+    """Log odds of sampled documents by the weights that their fold has no part in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = [Words(log_p, w) for w in parts]
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                rows = list(zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True))
+                z = [start + (sum(words[fold](text)) if text else 0.0) for text, _, fold in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in rows], pa.bool_()), pa.array(z, pa.float64())], schema=schema)
 
     return run
 
@@ -220,14 +241,17 @@ def _scores(log_p: np.ndarray, weights: dict[str, float], start: float, schema:
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: F.Column | None = None, sample: int = 6000, least_rows: int = 3, least: float = 0.5, shrink: float = 10.0, margin: float = 2.0) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: F.Column | None = None, sample: int = 6000, least_rows: int = 3, least: float = 0.5, shrink: float = 10.0, margin: float | None = None, folds: int = 5) -> DataFrame:
     """doc_id and score (0 to 1) of every row.
 
     ``held_out``: a condition on labels' rows that must not be learned from. A feature counts
     if at least ``least_rows`` toxic documents of the sample have it and its smoothed
     probability (``shrink`` rows of the prior are added) is at least ``least``.
     ``margin``: log odds that the evidence must show beyond the prior's, against words that
-    merely chanced to be in toxic documents of the sample.
+    merely chanced to be in toxic documents of the sample. Unless given it is the least of
+    ``MARGINS`` with the fewest errors when each of ``folds`` parts of the sample, dealt by a
+    hash of the id, is scored by weights learned from the others; clean rows count as often as
+    the labels have them. Held-out labels play no part in it.
     """
     spark = docs.sparkSession
     counts = np.zeros(_SYMBOLS**3, np.int64)
@@ -238,21 +262,42 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     log_p = language_model(counts)
 
     usable = labels.where(~held_out) if held_out is not None else labels
-    usable = usable.select(F.col(id_col).cast("long").alias("__id"), (F.col(label_col) > 0).alias("__toxic")).dropna()
-    shares = usable.agg(F.avg(F.col("__toxic").cast("double"))).first()[0]
-    drawn = {r["__id"]: r["__toxic"] for x in (False, True) for r in usable.where(F.col("__toxic") == x).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()}
+    usable = usable.select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) > 0).alias("toxic")).dropna()
+    shares = usable.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    drawn = {r["id"]: r["toxic"] for x in (False, True) for r in usable.where(F.col("toxic") == x).orderBy(F.xxhash64("id"), "id").limit(sample).collect()}
     prior = min(0.4, max(1e-4, shares or 0.0))
+    start = math.log(prior / (1 - prior))
     weights: dict[str, float] = {}
     if any(drawn.values()):
-        ids = spark.createDataFrame(list(drawn.items()), "__id long, __toxic boolean")  # at most sample rows a label
-        rows = docs.join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("__id")).select(F.col(text_col), "__toxic")
-        schema = pa.schema([("f", pa.string()), ("n", pa.int64()), ("toxic", pa.int64())])
-        counted = rows.mapInArrow(_labelled(log_p, schema), "f string, n long, toxic long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+        # at most sample rows a label
+        ids = spark.createDataFrame([(i, t, _fold(i, folds)) for i, t in drawn.items()], "id long, toxic boolean, fold int")
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+        schema = pa.schema([("f", pa.string()), ("fold", pa.int32()), ("n", pa.int64()), ("toxic", pa.int64())])
+        counted = rows.select("text", "toxic", "fold").mapInArrow(_labelled(log_p, schema), "f string, fold int, n long, toxic long").groupBy("f", "fold").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+        many = counted.groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.collect_list(F.struct("fold", "n", "toxic")).alias("parts")).where(F.col("toxic") >= least_rows)
+        found = many.collect()  # bounded by the sample
         # clean rows are thinner in the sample than in the labels: weigh them back
         n_toxic = sum(drawn.values())
-        lift = (1 - prior) / max(prior, 1e-9) * n_toxic / max(1, len(drawn) - n_toxic)
-        p = (F.col("toxic") + shrink * prior) / (F.col("toxic") + (F.col("n") - F.col("toxic")) * max(1.0, lift) + shrink)
-        found = counted.where(F.col("toxic") >= least_rows).select("f", p.alias("p")).where(F.col("p") >= max(least, 1.5 * prior)).collect()  # bounded by the sample
-        weights = {r.f: math.log(r.p / (1 - r.p)) - math.log(prior / (1 - prior)) for r in found}
+        lift = max(1.0, (1 - prior) / max(prior, 1e-9) * n_toxic / max(1, len(drawn) - n_toxic))
+
+        def learned(left_out: int | None) -> dict[str, float]:
+            out = {}
+            for r in found:
+                n, toxic = r.n, r.toxic
+                for x in r.parts:
+                    if x.fold == left_out:
+                        n, toxic = n - x.n, toxic - x.toxic
+                p = (toxic + shrink * prior) / (toxic + (n - toxic) * lift + shrink)
+                if toxic >= least_rows and p >= max(least, 1.5 * prior):
+                    out[r.f] = math.log(p / (1 - p)) - start
+            return out
+
+        weights = learned(None)
+        if margin is None:
+            parts = [learned(k) for k in range(folds)]
+            schema = pa.schema([("toxic", pa.bool_()), ("z", pa.float64())])
+            tried = rows.select("text", "toxic", "fold").mapInArrow(_tried(log_p, parts, start, schema), "toxic boolean, z double").collect()  # a row a sampled document
+            errors = lambda m: sum((0 if r.z >= m else 1) if r.toxic else (lift if r.z >= m else 0) for r in tried)
+            margin = min(MARGINS, key=lambda m: (errors(m), m))
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scores(log_p, weights, math.log(prior / (1 - prior)) - margin, schema), "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_scores(log_p, weights, start - (margin or 0.0), schema), "doc_id long, score double")

@@ -224,9 +224,9 @@ def test_languages(spark, empty):
     rows = [(i, " ".join(RANDOM.choices(["the", "and", "of", "house"], k=30)), "en", "a") for i in range(40)] + [(100 + i, " ".join(RANDOM.choices(["der", "und", "von", "haus"], k=30)), "de", "b") for i in range(40)]
     rows += [(900, "der und von haus der und", "en", "a"), (901, None, "en", None), (902, "12 !!", None, "zz"), (903, "the house of", None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r for r in identify_languages(df, temper=1.0).collect()}
-    assert got[900]["__language"] == "de" and got[903]["__language"] == "en" and got[901]["__rejected"] and got[902]["__rejected"]
-    assert sum(got[i]["__language"] == "en" for i in range(40)) == 40 and identify_languages(empty).count() == 0
+    got = {r.row.doc_id: r for r in identify_languages(df, temper=1.0).collect()}
+    assert got[900].language == "de" and got[903].language == "en" and got[901].rejected and got[902].rejected
+    assert sum(got[i].language == "en" for i in range(40)) == 40 and identify_languages(empty).count() == 0
 
 
 def test_rare_languages(spark):
@@ -238,7 +238,7 @@ def test_rare_languages(spark):
     rows += [(9100 + i, f"{x}{x[::-1]}q {x}w{x}z " * 20, x, "b") for i, x in enumerate(more)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     want = {9000 + i: "cy" for i in range(3)} | {9100 + i: x for i, x in enumerate(more)}
-    one, many = ({r.doc_id: (r["__language"], round(r["__confidence"], 6)) for r in identify_languages(df, shard=n).collect()} for n in (512, 40))
+    one, many = ({r.row.doc_id: (r.language, round(r.confidence, 6)) for r in identify_languages(df, shard=n).collect()} for n in (512, 40))
     assert {i: one[i][0] for i in want} == want and sum(one[i][0] == "en" for i in range(5000)) == 5000
     assert one == many
 
