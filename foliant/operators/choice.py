@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.operators.extraction import answer_groups
-from foliant.operators.selection import fallback_place, greedy_dedup, visual_priority
+from foliant.operators.selection import fallback_place, greedy_dedup, too_few, visual_priority
 from foliant.operators.summary import MODULE_BUCKETS, MODULES, canonical_module, replaced_bucket
 
 # How many entries a summary aims at.
@@ -35,13 +35,11 @@ def chosen_ids(groups: DataFrame, items: DataFrame, scope: list[str]) -> tuple[D
     return greedy_dedup(each.join(known, [*scope, "item_id"], "left_semi"), scope, "item_id", "group_index"), unknown
 
 
-def too_few(answers: DataFrame, offered: DataFrame, least: int = TOTAL_MIN, most: int = TOTAL_MAX) -> DataFrame:
+def small_choices(answers: DataFrame, offered: DataFrame, least: int = TOTAL_MIN, most: int = TOTAL_MAX) -> DataFrame:
     """(cache_key, more): what to say to the choosing answers (cache_key, answer) that have fewer
-    groups than ``least``, or than the items they were offered (cache_key, n_items)."""
-    wanted = F.least(F.lit(least), F.col("n_items"))
-    n = F.size(answer_groups(F.col("answer")))
-    said = F.format_string("That answer has %d groups, which are too few. Answer anew, in the same form, with %d to %d selected_groups that show cover, exclusions, duties, claims, limits, deadlines and conditions as far as the items have them. Use the given ids only.", n, wanted, F.lit(most))
-    return answers.join(offered.select("cache_key", "n_items"), "cache_key").where(n < wanted).select("cache_key", said.alias("more"))
+    groups than asked for, by the items they were offered (cache_key, n_items)."""
+    said = too_few(F.size(answer_groups(F.col("answer"))), F.col("n_items"), least, most)
+    return answers.join(offered.select("cache_key", "n_items"), "cache_key").select("cache_key", said.alias("more")).where("more IS NOT NULL")
 
 
 def rank_key(priority: str = "priority") -> list[Column]:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from foliant.functions.text import clean_clause, merge_dependent, sentences, strip, word_count
 from foliant.operators.chunk_clauses import marked
+from foliant.operators.scan import numbered_in, windows_of
+from foliant.sources.shared import durable
 
 
 def split_clauses(df: DataFrame, text_col: str, keys: list[str], prefixes: tuple[str, ...] = ()) -> DataFrame:
@@ -93,3 +95,15 @@ def context_windows(clauses: DataFrame, keys: list[str], order: list[str], text_
         *keys, "window_index", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.aggregate(part(F.col("w")), F.lit(0), lambda a, x: (a + x).cast("int")).alias("n_words"),
         F.array_join(part(F.col("t")), "\n\n").alias("context_text"), (F.col("window_index") > 0).alias("is_continuation"), *([part(F.col("id")).alias("clause_ids")] if id_col else []),
     )
+
+
+def section_windows(clauses: DataFrame, keys: list[str], order: list[str], text_col: str, most: int = 2500, overlap: int = 2, id_col: str | None = None) -> DataFrame:
+    """``context_windows`` for sections of any size: no row holds a section, a window's clauses
+    meet by their places, and no window has more than ``most`` clauses."""
+    rows = numbered_in(clauses.where(F.trim(F.coalesce(text_col, F.lit(""))) != "").select(*keys, *(c for c in order if c not in keys), F.col(text_col).alias("__t"), F.col(id_col or text_col).alias("__id")), keys, order, "pos")
+    rows = durable(rows.select(*keys, "pos", "__t", "__id", word_count(F.col("__t")).alias("w")))
+    bounds = windows_of(rows.select(*keys, "pos", "w"), keys, most, overlap)
+    held = bounds.withColumn("pos", F.explode(F.sequence(F.col("start").cast("long"), F.col("end").cast("long") - 1))).join(rows, [*keys, "pos"])
+    c = F.array_sort(F.collect_list(F.struct("pos", F.col("__t").alias("t"), F.col("__id").alias("id"))))
+    found = held.groupBy(*keys, "window_index", "start", "end").agg(F.sum("w").cast("int").alias("n_words"), c.alias("c"))
+    return found.select(*keys, "window_index", "start", "end", "n_words", F.array_join("c.t", "\n\n").alias("context_text"), (F.col("window_index") > 0).alias("is_continuation"), *([F.col("c.id").alias("clause_ids")] if id_col else []))

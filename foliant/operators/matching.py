@@ -1,4 +1,4 @@
-"""Quote validation: exact containment first, a fuzzy ratio only for what is left."""
+"""How alike a quote and a text are, and quotes on pages."""
 
 from __future__ import annotations
 
@@ -6,12 +6,8 @@ from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from foliant.operators.layout import bbox_union
 
 
 def normalised(c: Column) -> Column:
@@ -48,102 +44,6 @@ def similarity(quote: str, text: str, floor: float = 0.0) -> float:
     return best
 
 
-@F.pandas_udf(T.DoubleType())
-def _similarity(quotes: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([similarity(q, t) for q, t in zip(quotes, texts, strict=True)], dtype=float)
-
-
-def validate_quotes(quotes: DataFrame, clauses: DataFrame, keys: list[str], *, quote_col: str = "quote", clause_col: str = "clause", id_col: str = "clause_id", verified: float = 0.95, fuzzy: float = 0.8) -> DataFrame:
-    """Best clause of the same keys for each quote: status, score and clause ids (ties kept).
-
-    Pairs where one holds the other never reach Python."""
-    pairs = quotes.join(clauses.select(*keys, id_col, clause_col), keys, "left").withColumns({"q": normalised(F.col(quote_col)), "t": normalised(F.col(clause_col))})
-    exact = F.contains("t", "q") | F.contains("q", "t")
-    known = pairs.where(F.col(id_col).isNull() | exact).withColumn("s", F.when(F.col(id_col).isNull() | (F.trim(F.coalesce(quote_col, F.lit(""))) == ""), 0.0).otherwise(1.0))
-    rest = pairs.where(F.col(id_col).isNotNull() & ~exact).withColumn("s", _similarity("q", "t"))
-    scored = known.unionByName(rest).groupBy(*quotes.columns).agg(F.max("s").alias("score"), F.collect_list(F.struct("s", F.col(id_col).alias("id"))).alias("x"))
-    ids = F.array_sort(F.transform(F.filter("x", lambda x: x["s"] == F.col("score")), lambda x: x["id"]))
-    status = F.when(F.col("score") >= verified, "verified").when(F.col("score") >= fuzzy, "fuzzy_match").otherwise("unverified")
-    return scored.withColumns({"matched_ids": ids, "status": status}).withColumn("score", F.bround("score", 4)).drop("x")
-
-
-_MATCH = T.StructType([T.StructField("status", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ids", T.ArrayType(T.StringType()))])
-
-
-def _searched(quote: str, ids: list[str], texts: list[str], fuzzy: float) -> tuple[float, list[str]]:
-    """Best clause of a section, ties all; below the threshold runs of three compete too."""
-    held = [i for i, t in zip(ids, texts, strict=True) if quote in t or t in quote]
-    if held:
-        return 1.0, held
-    scores, best = [0.0] * len(texts), 0.0
-    top = [max(_bounds(quote, t), default=0) if 10 <= len(quote) <= len(t) else 0 for t in texts]
-    for i in sorted(range(len(texts)), key=lambda i: -top[i]):
-        scores[i] = similarity(quote, texts[i], best)
-        best = max(best, scores[i])
-    found = [i for i, s in zip(ids, scores, strict=True) if s == best and s > 0]
-    if best < fuzzy:
-        for a in range(len(ids) - 1):
-            s = similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()), best)
-            if s > best:
-                best, found = s, list(ids[a : a + 3])
-    return best, found
-
-
-def tiered_match(quote: str, cited_ids: list[str], joined: str, cited: list[str], ids: list[str], texts: list[str], verified: float = 0.95, fuzzy: float = 0.8) -> tuple[str, float, list[str]]:
-    """Status, score and clause ids of a quote, all texts normalised: the cited clauses
-    together, then the best single one of them, then the whole section."""
-
-    def status(s: float, other: str) -> str:
-        return "verified" if s >= verified else "fuzzy_match" if s >= fuzzy else other
-
-    if not cited_ids:
-        score, found = _searched(quote, ids, texts, fuzzy)
-        return status(score, "unverified"), score, found
-    score = similarity(quote, joined)
-    if score >= fuzzy:
-        return status(score, ""), score, cited_ids
-    single = max(similarity(quote, t) for t in cited)
-    if single >= fuzzy:
-        return "fuzzy_match", single, cited_ids
-    other, found = _searched(quote, ids, texts, fuzzy)
-    return (status(other, ""), other, found) if other >= fuzzy else ("weak_match", score, cited_ids)
-
-
-@F.pandas_udf(_MATCH)
-def _tiered(quotes: pd.Series, cited_ids: pd.Series, joined: pd.Series, cited: pd.Series, ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
-    got = [tiered_match(q, list(c), j, list(t), list(i), list(x)) for q, c, j, t, i, x in zip(quotes, cited_ids, joined, cited, ids, texts, strict=True)]
-    return pd.DataFrame(got, columns=["status", "score", "ids"])
-
-
-def validate_items(items: DataFrame, clauses: DataFrame, keys: list[str], *, order: list[str], quote: str = "exact_quote", cited: str = "supporting_clause_ids", clause_id: str = "clause_id", text: str = "clause_text") -> DataFrame:
-    """Items with validation_status, quote_match_score, matched_clause_ids, page_start,
-    page_end and bbox_union, by the clauses (with page_start, page_end, bbox) of their section.
-
-    A section's clauses meet their items as one array, so a section must fit a row. Empty and
-    null quotes and items without clauses are unverified; a quote of white space is in every
-    text. Quotes that the cited clauses hold (or that hold them) never reach Python.
-    """
-    c = F.array_sort(F.collect_list(F.struct(*order, F.col(clause_id).alias("__id"), normalised(F.col(text)).alias("t"), F.col("page_start").alias("p0"), F.col("page_end").alias("p1"), F.col("bbox").alias("box"))))
-    rows = items.drop("page_start", "page_end").join(clauses.groupBy(*keys).agg(c.alias("__c")), keys, "left")
-    empty = F.array().cast("array<string>")
-    valid = F.filter(F.coalesce(cited, empty), lambda i: F.array_contains(F.col("__c.__id"), i))
-    rows = rows.withColumns({"__q": normalised(F.col(quote)), "__v": F.coalesce(valid, empty)})
-    rows = rows.withColumn("__t", F.transform("__v", lambda i: F.element_at(F.filter("__c", lambda x: x["__id"] == i), -1)["t"])).withColumn("__j", normalised(F.array_join("__t", " ")))
-    none = F.col("__c").isNull() | (F.coalesce(quote, F.lit("")) == "")
-    held = (F.size("__v") > 0) & (F.contains("__j", "__q") | F.contains("__q", "__j"))
-    found = lambda s, x, i: F.struct(F.lit(s).alias("status"), F.lit(x).alias("score"), i.alias("ids"))
-    known = rows.where(none | held).withColumn("__m", F.when(none, found("unverified", 0.0, empty)).otherwise(found("verified", 1.0, F.col("__v"))).cast(_MATCH))
-    rest = rows.where(~none & ~held).withColumn("__m", _tiered("__q", "__v", "__j", "__t", F.col("__c.__id"), F.col("__c.t")))
-    out = known.unionByName(rest)
-    of = F.filter(F.coalesce("__c", F.array().cast(rows.schema["__c"].dataType)), lambda x: F.array_contains(F.col("__m.ids"), x["__id"]))
-    pages = F.array_compact(F.flatten(F.transform("__of", lambda x: F.array(x["p0"], x["p1"]))))
-    out = out.withColumn("__of", of)
-    return out.select(
-        *[x for x in items.columns if x not in ("page_start", "page_end")], F.col("__m.status").alias("validation_status"), F.bround("__m.score", 4).alias("quote_match_score"),
-        F.col("__m.ids").alias("matched_clause_ids"), F.array_min(pages).alias("page_start"), F.array_max(pages).alias("page_end"), bbox_union(F.col("__of.box")).alias("bbox_union"),
-    )
-
-
 def quote_position(text: Column, quote: Column) -> Column:
     """Place (from 1) of a quote in a text, regardless of case: the whole quote, else what the
     first 150, 80 or 50 characters hold up to their last space; 0 if there is none."""

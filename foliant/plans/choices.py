@@ -12,7 +12,7 @@ from foliant.functions.text import box_of, escape_html, ids_of, integer_or, norm
 from foliant.operators.choice import TARGETS, filtered_summary, prefiltered, run_cost, run_metadata, workload
 from foliant.operators.chunk_table import with_section_columns
 from foliant.operators.extraction import group_rows, with_extraction_ids
-from foliant.operators.matching import validate_items
+from foliant.operators.quotes import validate_items
 from foliant.operators.numbering import numbered
 from foliant.operators.selection import composite_score, polarity_override, section_score, specificity, visual_priority
 from foliant.operators.summary import MODULE_BUCKETS, MODULES, entries, summarise

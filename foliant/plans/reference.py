@@ -11,7 +11,8 @@ from foliant.operators.chunk_clauses import chunk_clauses
 from foliant.operators.clauses import context_windows, section_rollup, split_clauses
 from foliant.operators.extraction import item_rows
 from foliant.operators.layout import islands
-from foliant.operators.matching import quote_position, validate_items
+from foliant.operators.matching import quote_position
+from foliant.operators.quotes import validate_items
 from foliant.operators.selection import candidates, composite_score, corrected_polarity, fallback_selection, greedy_dedup, merge_provenance, run_totals, supplement, too_few, top_per_bucket
 from foliant.operators.summary import BUCKETS, balance, summarise
 from foliant.plans.report import customer_pages

@@ -17,12 +17,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.operators.choice import filtered_summary, prefiltered, run_cost, run_metadata, too_few
+from foliant.operators.choice import filtered_summary, prefiltered, run_cost, run_metadata, small_choices
 from foliant.operators.chunk_clauses import chunk_clauses, marked
 from foliant.operators.chunk_table import chunk_table, with_section_columns
 from foliant.operators.clauses import context_windows, section_table
 from foliant.operators.extraction import cache_key, group_rows, item_rows, with_extraction_ids
-from foliant.operators.matching import validate_items
+from foliant.operators.quotes import validate_items
 from foliant.operators.numbering import numbered
 from foliant.operators.prompts import compact_item, extraction_prompt, selection_prompt
 from foliant.operators.selection import composite_score, polarity_override, section_score, specificity
@@ -150,7 +150,7 @@ def run(
         def build() -> DataFrame:
             questions = choice_questions(shown)
             ask = lambda todo, k: asked(f"choose-{k}", todo, chooser, mark, again("summary"), tries=1)
-            got = ask_in_rounds(questions, ask, lambda got: too_few(got, questions), rounds=rounds, wait=wait)
+            got = ask_in_rounds(questions, ask, lambda got: small_choices(got, questions), rounds=rounds, wait=wait)
             return questions.select("doc_id", "cache_key").join(got, "cache_key")
 
         choices = s.table("choices", build, again("summary"), after=["shown"], inputs=choosing)

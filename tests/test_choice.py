@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from foliant.operators.matching import quote_position, quoted_pages, tiered_match, validate_items
+from foliant.operators.matching import quote_position, quoted_pages
+from foliant.operators.quotes import validate_items
 from foliant.operators.prompts import compact_item, extraction_prompt, selection_prompt
 from foliant.operators.selection import fallback_selection, largest, run_totals, too_few
 from foliant.plans.report import customer_pages, index_pages
@@ -39,19 +40,6 @@ def test_too_few_and_totals(spark):
     assert [r.d for r in largest(df, "i", "d", 1).collect()] == ["a"]
 
 
-def test_tiers(spark):
-    texts = ["the quick brown fox jumps over it", "a wholly different clause of text", "x"]
-    assert tiered_match("the quick brown fox", ["c0"], texts[0], [texts[0]], ["c0", "c1"], texts[:2]) == ("verified", 1.0, ["c0"])
-    # the cited clauses say nothing of the quote: the section does
-    assert tiered_match("wholly different clause", ["c0"], texts[0], [texts[0]], ["c0", "c1"], texts[:2]) == ("verified", 1.0, ["c1"])
-    # a short cited clause inside the quote, cited with a long other one
-    got = tiered_match("different clause of the sort x", ["c2", "c0"], "x " + texts[0] * 3, ["x", texts[0] * 3], ["c0", "c2"], [texts[0] * 3, "x"])
-    assert got == ("fuzzy_match", 1.0, ["c2", "c0"])
-    assert tiered_match("zzzzzzzzzzzz", ["c0"], texts[0], [texts[0]], ["c0"], texts[:1])[0] == "weak_match"
-    assert tiered_match("zzzzzzzzzzzz", [], "", [], ["c0"], texts[:1])[0] == "unverified"
-    assert tiered_match("of text the quick", [], "", [], ["c1", "c0"], ["clause of text", "the quick fox"]) == ("verified", 1.0, ["c1", "c0"])
-
-
 def test_items(spark):
     clauses = spark.createDataFrame([("s", 0, "c0", "The quick  brown fox", 1, 2, [0.0, 1.0, 2.0, 3.0]), ("s", 1, "c1", "jumps over it all", 3, 3, None), ("s", 2, "c2", "the quick brown fox", 5, 5, [1.0, 0.0, 1.0, 9.0])], "s string, i int, clause_id string, clause_text string, page_start int, page_end int, bbox array<double>")
     items = spark.createDataFrame([(1, "s", "quick brown", ["c0", "?"]), (2, "s", "quick brown", None), (3, "s", "", ["c0"]), (4, "z", "quick", []), (5, "s", " ", ["c1"]), (6, "s", None, None), (7, "s", "jumps ower it all", ["c1"])], "n int, s string, exact_quote string, supporting_clause_ids array<string>")

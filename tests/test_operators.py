@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 from foliant.functions.text import clean_clause, escape_html, merge_dependent, normalise_space, section_path, sentences, truncate
 from foliant.operators.clauses import split_clauses, window_bounds
 from foliant.operators.layout import bbox_union, chunks
-from foliant.operators.matching import validate_quotes
 from foliant.operators.selection import composite_score, corrected_polarity, greedy_dedup, section_score, supplement
 
 
@@ -68,10 +67,3 @@ def test_selection(spark):
     assert sorted((r.i, r.g) for r in greedy_dedup(df, ["s"], "i", "g").collect()) == [("x", 1), ("x", 1), ("y", 2)]
     df = spark.createDataFrame([("s", i, i == 0) for i in range(5)], "s string, i int, c boolean")
     assert sorted(r.i for r in supplement(df, ["s"], "c", [F.asc("i")], 3).collect()) == [0, 1, 2]
-
-
-def test_quotes(spark):
-    clauses = spark.createDataFrame([("k", "c1", "The quick brown fox jumps"), ("k", "c2", "something else here")], "k string, clause_id string, clause string")
-    quotes = spark.createDataFrame([("k", 1, "quick  BROWN fox"), ("k", 2, "quick brawn fox jumps"), ("k", 3, "zzzzqqqqzzzzqqq"), ("z", 4, "none")], "k string, q_id int, quote string")
-    got = {r.q_id: (r.status, r.matched_ids) for r in validate_quotes(quotes, clauses, ["k"]).collect()}
-    assert got[1] == ("verified", ["c1"]) and got[2][0] in ("verified", "fuzzy_match") and got[3][0] == "unverified" and got[4][0] == "unverified"

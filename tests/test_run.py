@@ -130,7 +130,7 @@ def test_choosing_in_rounds(spark, tmp_path):
 
     def choose(prompt):
         asked, _ = json.JSONDecoder().raw_decode(prompt, prompt.index('{"doc_id"'))
-        ids, n = [i["id"] for i in asked["items"]], prompt.count("too few")
+        ids, n = [i["id"] for i in asked["items"]], prompt.count("groups came back")
         if asked["doc_id"] == "down":
             raise OSError("down")
         # one group, then all; the first document never gives more than one
