@@ -254,8 +254,10 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         if classes.groupBy("node").count().where("count > 1").isEmpty():
             break
     rows = sets.select(node.alias("node"), F.explode("buckets").alias("bucket"))
-    several = rows.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").drop("last")
+    # written, so that the files of its shuffle may go before the rows are shuffled again
+    several = scratch.write(rows.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").drop("last"))
     shared = durable(rows.join(several, "bucket").select("bucket", "node", "lead").distinct())
+    scratch.drop(several)
     some = sets.select(node.alias("node"), "n", "fine", "bitmap").join(shared.select("node").distinct(), "node", "left_semi")
     some = durable(some.groupBy("node").agg(F.first("n").alias("n"), F.first("fine").alias("fine"), F.first("bitmap").alias("bitmap")))
 
