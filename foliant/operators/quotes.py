@@ -1,9 +1,9 @@
 """Search of quotes among the clauses of sections of any size.
 
-1. An inverted index of character grams finds the clauses that hold a quote or that a quote
-   holds: a quote looks up its rarest gram among all grams of the clauses, and a clause its own
+1. In sections of more than a block an inverted index of character grams finds the clauses that
+   hold a quote or that a quote holds: a quote looks up its rarest gram among all grams of the clauses, and a clause its own
    rarest gram among those of the quotes. Only what meets in a gram is compared.
-2. Quotes that are left take a floor from the clauses that share most of their rare grams.
+2. Quotes that are left there take a floor from the clauses that share most of their rare grams.
 3. Blocks of clauses and of quotes of a section then meet in tiles. What two texts can have in
    common is bounded from above by their characters and pairs of characters, counted for a whole
    tile at once; only clauses whose bound reaches the best score known are compared. The best of
@@ -65,7 +65,13 @@ def best_places(quote: str, floor: float, texts: list[str], of: tuple[np.ndarray
     held = [i for i, t in enumerate(texts) if quote in t or t in quote]
     if held:
         return 1.0, held
-    for i in np.argsort(-top, kind="stable").tolist():
+    order = np.argsort(-top, kind="stable").tolist()
+    if floor == 0 and texts:  # what shares most grams is likely to set a high mark
+        cut = {quote[i : i + GRAM] for i in range(len(quote) - GRAM + 1)}
+        order.insert(0, max(range(len(texts)), key=lambda i: sum(g in texts[i] for g in cut)))
+    for i in order:
+        if i in scores:
+            continue
         if top[i] < best:
             break
         scores[i] = similarity(quote, texts[i], best)
@@ -150,51 +156,75 @@ def holding(quotes: DataFrame, clauses: DataFrame, keys: list[str]) -> DataFrame
     return met.where(F.contains("q", "t") | F.contains("t", "q")).select("row", "pos")
 
 
-@F.udf(T.DoubleType(), useArrow=True)
-def _floor(quote: str, texts: list[str] | None) -> float:
-    best = 0.0
-    for t in texts if texts is not None else []:
-        best = max(best, similarity(quote, t, best))
-    return best
+@F.udf(T.StructType([T.StructField("floor", T.DoubleType()), T.StructField("of_run", T.DoubleType())]), useArrow=True)
+def _tried(quote: str, texts: list[str], at: int) -> tuple[float, float]:
+    """Score of the clause at a place of a list of neighbours, and of the best run with it."""
+    own, run = similarity(quote, texts[at]), 0.0
+    for a in range(max(0, at - 2), min(at, len(texts) - 2) + 1):
+        run = max(run, similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()), run))
+    return own, run
 
 
 def floors(quotes: DataFrame, clauses: DataFrame, keys: list[str], probes: int = 8, tries: int = 3) -> DataFrame:
-    """Quotes (keys, row, q) with a floor: the best score against the ``tries`` clauses that share
-    most of the quote's ``probes`` rarest grams; 0 if none does."""
+    """Quotes (keys, row, q) with a floor, the best score against the ``tries`` clauses that share
+    most of the quote's ``probes`` rarest grams, and of_run, the best against runs of three that
+    hold one of these; 0 if no clause does."""
     index = clauses.select(*keys, "pos", F.explode(grams(F.col("t"))).alias("__g"))
     held = quotes.select(*keys, "row", F.explode(grams(F.col("q"))).alias("__g")).join(index.groupBy(*keys, "__g").agg(F.count(F.lit(1)).alias("__n")), [*keys, "__g"])
     few = held.withColumn("__r", F.row_number().over(Window.partitionBy("row").orderBy("__n", "__g"))).where(F.col("__r") <= probes)
     shared = few.join(index, [*keys, "__g"]).groupBy(*keys, "row", "pos").agg(F.count(F.lit(1)).alias("m"))
     top = shared.withColumn("__r", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("m"), "pos"))).where(F.col("__r") <= tries)
-    seen = top.join(clauses.select(*keys, "pos", "t"), [*keys, "pos"]).groupBy("row").agg(F.collect_list("t").alias("__t"))
-    return quotes.join(seen, "row", "left").withColumn("floor", _floor("q", "__t")).drop("__t")
+    near = top.select(*keys, "row", F.col("pos").alias("__at"), F.explode(F.sequence(F.col("pos") - 2, F.col("pos") + 2)).alias("pos")).join(clauses, [*keys, "pos"])
+    near = near.groupBy(*keys, "row", "__at").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("x"))
+    tried = near.join(quotes, [*keys, "row"]).select("row", _tried("q", "x.t", (F.array_position("x.pos", F.col("__at")) - 1).cast("int")).alias("s"))
+    best = tried.groupBy("row").agg(F.max("s.floor").alias("floor"), F.max("s.of_run").alias("of_run"))
+    return quotes.join(best, "row", "left").select(*quotes.columns, F.coalesce("floor", F.lit(0.0)).alias("floor"), F.coalesce("of_run", F.lit(0.0)).alias("of_run"))
 
 
 def best_clauses(quotes: DataFrame, clauses: DataFrame, keys: list[str], *, block: int = 256, run_below: float | None = None) -> DataFrame:
     """(row, score, places, run) of each quote (keys, row, q; normalised text) among the clauses
     (keys, pos from 0, t) of its keys: the best score and the places that have it, in order.
+    Both are read several times, so they are best given as written tables.
 
     With ``run_below``, quotes that stay below try runs of three clauses too, and take the first
     of the best ones if it is better than any clause; ``places`` is then where it begins and
     ``run`` is true. Quotes whose best score is 0, or whose keys have no clauses, give no row.
     """
-    quotes, clauses = durable(quotes.select(*keys, "row", "q")), durable(clauses.select(*keys, F.col("pos").cast("long").alias("pos"), "t"))
-    exact = durable(holding(quotes, clauses, keys).groupBy("row").agg(F.array_sort(F.collect_list("pos")).alias("places")).withColumn("score", F.lit(1.0)))
-    left = durable(floors(quotes.join(exact.select("row"), "row", "left_anti"), clauses, keys))
-    found = durable(_best(_tiled(left, clauses, keys, block, False)))
-    out = exact.select("row", "score", "places").unionByName(found.select("row", "score", "places")).withColumn("run", F.lit(False))
-    if run_below is None:
-        return out
-    again = left.drop("floor").join(found.select("row", F.col("score").alias("floor")), "row", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))).where(F.col("floor") < run_below)
-    runs = durable(_best(_tiled(again.select(*keys, "row", "q", "floor"), clauses, keys, block, True), True).withColumn("run", F.lit(True)))
-    better = runs.join(again.select("row", "floor"), "row").where(F.col("score") > F.col("floor")).drop("floor")
-    return out.join(better.select("row"), "row", "left_anti").unionByName(better.select("row", "score", "places", "run"))
+    quotes, clauses = quotes.select(*keys, "row", "q"), clauses.select(*keys, F.col("pos").cast("long").alias("pos"), "t")
+    kind = lambda run: F.lit(run).alias("run")
+    found_in = lambda asked, run: _best(_tiled(asked.select(*keys, "row", "q", "floor"), clauses, keys, block, run), run).select("row", "score", "places", kind(run))
+    # a section of one block is one tile, which needs neither index nor floor
+    large = clauses.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > block).select(*keys)
+    left, done = quotes.select("*", F.lit(0.0).alias("floor"), F.lit(0.0).alias("of_run")), []
+    if not large.isEmpty():
+        there = quotes.join(large, keys, "left_semi")
+        exact = durable(holding(there, clauses.join(large, keys, "left_semi"), keys).groupBy("row").agg(F.lit(1.0).alias("score"), F.array_sort(F.collect_list("pos")).alias("places")).withColumn("run", kind(False)))
+        rest = durable(floors(there.join(exact.select("row"), "row", "left_anti"), clauses, keys))
+        done = [exact]
+        if run_below is not None:
+            # runs count only where no clause will do, and a clause only if it is as good as them
+            good = durable(found_in(rest.withColumn("floor", F.greatest("floor", F.lit(run_below))), False))
+            rest = rest.join(good.select("row"), "row", "left_anti").withColumn("floor", F.greatest("floor", "of_run"))
+            done.append(good)
+        left = durable(rest.unionByName(left.join(large, keys, "left_anti")))
+    found = durable(found_in(left, False))
+    if run_below is not None:
+        again = left.join(found.select("row", "score"), "row", "left").where(F.coalesce("score", F.lit(0.0)) < run_below)
+        if not again.isEmpty():
+            runs = durable(found_in(again.withColumn("floor", F.greatest(F.coalesce("score", F.lit(0.0)), "of_run")), True))
+            better = runs.join(again.select("row", F.coalesce("score", F.lit(0.0)).alias("__s")), "row").where(F.col("score") > F.col("__s")).drop("__s")
+            found = found.join(better.select("row"), "row", "left_anti").unionByName(better)
+    for x in done:
+        found = found.unionByName(x)
+    return found
 
 
 @F.udf(T.StructType([T.StructField("status", T.StringType()), T.StructField("score", T.DoubleType())]), useArrow=True)
-def _cited(quote: str, joined: str, texts: list[str], verified: float, fuzzy: float) -> tuple[str | None, float]:
+def _cited(quote: str, joined: str, texts: list[str] | None, verified: float, fuzzy: float) -> tuple[str | None, float | None]:
     """Status and score of a quote by the cited clauses together, then by the best single one;
     no status if neither will do."""
+    if texts is None:
+        return None, None
     score = similarity(quote, joined)
     if score >= fuzzy:
         return "verified" if score >= verified else "fuzzy_match", score
@@ -223,20 +253,17 @@ def validate_items(
     asked = asked.where(F.coalesce("raw", F.lit("")) != "").drop("raw").join(at.select(*k).distinct(), k, "left_semi")
     known = asked.select("row", *k, F.posexplode("ids").alias("j", "__id")).join(at.select(*k, "__id", "pos", "t"), [*k, "__id"])
     known = known.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", "pos", "t"))).alias("v"))
-    both = durable(asked.drop("ids").join(known, "row", "left").withColumn("joined", normalised(F.array_join("v.t", " "))))
-    held = F.col("v").isNotNull() & (F.contains("joined", "q") | F.contains("q", "joined"))
-    exact = both.where(held).select("row", F.struct(F.lit("verified").alias("status"), F.lit(1.0).alias("score")).alias("m"), F.col("v.pos").alias("places"))
-    tried = durable(both.where(F.col("v").isNotNull() & ~held).withColumn("m", _cited("q", "joined", "v.t", F.lit(verified), F.lit(fuzzy))))
-    near = tried.where("m.status IS NOT NULL").select("row", F.col("m"), F.col("v.pos").alias("places"))
-    weak = tried.where("m.status IS NULL").select("row", *k, "q", F.col("m.score").alias("cited_score"), F.col("v.pos").alias("cited_places"))
-    todo = durable(both.where("v IS NULL").select("row", *k, "q", F.lit(None).cast("double").alias("cited_score"), F.lit(None).cast("array<bigint>").alias("cited_places")).unionByName(weak))
+    both = asked.drop("ids").join(known, "row", "left").withColumn("joined", normalised(F.array_join("v.t", " ")))
+    both = durable(both.select("row", *k, "q", F.col("v.pos").alias("cited_places"), _cited("q", "joined", "v.t", F.lit(verified), F.lit(fuzzy)).alias("m")))
+    near = both.where("m.status IS NOT NULL").select("row", "m", F.col("cited_places").alias("places"))
+    todo = both.where("m.status IS NULL").select("row", *k, "q", F.col("m.score").alias("cited_score"), "cited_places")
     found = best_clauses(todo, at.select(*k, "pos", "t"), k, block=block, run_below=fuzzy)
     found = found.withColumn("places", F.when(F.col("run"), F.sequence(F.get("places", F.lit(0)), F.get("places", F.lit(0)) + 2)).otherwise(F.col("places"))).drop("run")
     searched = todo.join(found, "row", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     kept = (F.col("score") < fuzzy) & F.col("cited_places").isNotNull()
     status = F.when(kept, "weak_match").when(F.col("score") >= verified, "verified").when(F.col("score") >= fuzzy, "fuzzy_match").otherwise("unverified")
     searched = searched.select("row", F.struct(status.alias("status"), F.when(kept, F.col("cited_score")).otherwise(F.col("score")).alias("score")).alias("m"), F.when(kept, F.col("cited_places")).otherwise(F.coalesce("places", F.array().cast("array<bigint>"))).alias("places"))
-    judged = durable(exact.unionByName(near).unionByName(searched))
+    judged = durable(near.unionByName(searched))
     box, page = (lambda i: F.when(F.size("w.box") == 4, F.get("w.box", F.lit(i)))), (lambda f, g: f(g(F.col("w.p0"), F.col("w.p1"))))
     places = judged.join(asked.select("row", *k), "row").select("row", *k, F.posexplode("places").alias("j", "pos")).join(at.select(*k, "pos", "__id", F.col("__where").alias("w")), [*k, "pos"])
     places = places.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", F.col("__id").alias("id")))).alias("x"), page(F.min, F.least).alias("first"), page(F.max, F.greatest).alias("last"), *(f(box(i)).alias(f"b{i}") for i, f in enumerate((F.min, F.min, F.max, F.max))))
@@ -248,6 +275,10 @@ def validate_items(
     )
 
 
-def in_sections(clauses: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Clauses with pos, their place from 0 in their section."""
-    return numbered_in(clauses, keys, order, "pos")
+def in_sections(clauses: DataFrame, keys: list[str], order: list[str], most: int = 100_000) -> DataFrame:
+    """Clauses with pos, their place from 0 in their section; sections of more than ``most``
+    clauses are numbered over many tasks."""
+    n = clauses.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    if n and n > most:
+        return numbered_in(clauses, keys, order, "pos")
+    return clauses.withColumn("pos", (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long"))
