@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -15,14 +14,22 @@ def normalised(c: Column) -> Column:
 
 
 def _bounds(quote: str, text: str) -> np.ndarray:
-    """For each stretch of the text of the quote's length the number of characters that both
-    have, at whatever places: no ratio is above twice that by both lengths."""
-    n, chars = len(quote), np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    shared = np.zeros(len(text) - n + 1, np.int64)
-    for c, many in Counter(quote).items():
-        seen = np.concatenate([[0], np.cumsum(chars == ord(c))])
-        shared += np.minimum(seen[n:] - seen[:-n], many)
-    return shared
+    """For each stretch of the text of the quote's length a number of characters that no more
+    than can match: those that both have, at whatever places, and by the pairs of neighbours that
+    both have. Where blocks of matching characters part, a character of either doesn't match, so
+    p common pairs leave at most (p + 1 + 2 n) / 3 of n."""
+    n, chars = len(quote), np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    own = np.frombuffer(quote.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+    def common(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+        size, total = len(mine), np.zeros(len(theirs) - len(mine) + 1, np.int64)
+        for c, many in zip(*np.unique(mine, return_counts=True), strict=True):
+            seen = np.concatenate([[0], np.cumsum(theirs == c)])
+            total += np.minimum(seen[size:] - seen[: len(total)], many)
+        return total
+
+    pairs = common(own[:-1] << 21 | own[1:], chars[:-1] << 21 | chars[1:])
+    return np.minimum(common(own, chars), (pairs + 1 + 2 * n) / 3)
 
 
 def similarity(quote: str, text: str, floor: float = 0.0) -> float:

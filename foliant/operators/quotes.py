@@ -192,31 +192,27 @@ def best_clauses(quotes: DataFrame, clauses: DataFrame, keys: list[str], *, bloc
     """
     quotes, clauses = quotes.select(*keys, "row", "q"), clauses.select(*keys, F.col("pos").cast("long").alias("pos"), "t")
     kind = lambda run: F.lit(run).alias("run")
-    found_in = lambda asked, run: _best(_tiled(asked.select(*keys, "row", "q", "floor"), clauses, keys, block, run), run).select("row", "score", "places", kind(run))
+    found_in = lambda asked, run: durable(_best(_tiled(asked.select(*keys, "row", "q", "floor"), clauses, keys, block, run), run).select("row", "score", "places", kind(run)))
     # a section of one block is one tile, which needs neither index nor floor
     large = clauses.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > block).select(*keys)
-    left, done = quotes.select("*", F.lit(0.0).alias("floor"), F.lit(0.0).alias("of_run")), []
+    left, found = quotes.select("*", F.lit(0.0).alias("floor"), F.lit(0.0).alias("of_run")), None
     if not large.isEmpty():
         there = quotes.join(large, keys, "left_semi")
-        exact = durable(holding(there, clauses.join(large, keys, "left_semi"), keys).groupBy("row").agg(F.lit(1.0).alias("score"), F.array_sort(F.collect_list("pos")).alias("places")).withColumn("run", kind(False)))
-        rest = durable(floors(there.join(exact.select("row"), "row", "left_anti"), clauses, keys))
-        done = [exact]
-        if run_below is not None:
-            # runs count only where no clause will do, and a clause only if it is as good as them
-            good = durable(found_in(rest.withColumn("floor", F.greatest("floor", F.lit(run_below))), False))
-            rest = rest.join(good.select("row"), "row", "left_anti").withColumn("floor", F.greatest("floor", "of_run"))
-            done.append(good)
+        found = durable(holding(there, clauses.join(large, keys, "left_semi"), keys).groupBy("row").agg(F.lit(1.0).alias("score"), F.array_sort(F.collect_list("pos")).alias("places")).withColumn("run", kind(False)))
+        rest = floors(there.join(found.select("row"), "row", "left_anti"), clauses, keys)
         left = durable(rest.unionByName(left.join(large, keys, "left_anti")))
-    found = durable(found_in(left, False))
-    if run_below is not None:
-        again = left.join(found.select("row", "score"), "row", "left").where(F.coalesce("score", F.lit(0.0)) < run_below)
-        if not again.isEmpty():
-            runs = durable(found_in(again.withColumn("floor", F.greatest(F.coalesce("score", F.lit(0.0)), "of_run")), True))
-            better = runs.join(again.select("row", F.coalesce("score", F.lit(0.0)).alias("__s")), "row").where(F.col("score") > F.col("__s")).drop("__s")
-            found = found.join(better.select("row"), "row", "left_anti").unionByName(better)
-    for x in done:
-        found = found.unionByName(x)
-    return found
+    with_found = lambda df: df if found is None else found.unionByName(df)
+    if run_below is None:
+        return with_found(found_in(left, False))
+    # runs count only where no clause will do, and then a clause only if it is as good as them
+    found = with_found(found_in(left.withColumn("floor", F.greatest("floor", F.lit(run_below))), False))
+    rest = durable(left.join(found.select("row"), "row", "left_anti"))
+    if rest.isEmpty():
+        return found
+    runs = found_in(rest.withColumn("floor", F.col("of_run")), True)
+    mark = rest.join(runs.select("row", "score"), "row", "left").withColumn("floor", F.greatest("floor", F.coalesce("score", F.lit(0.0))))
+    alone = found_in(mark, False)
+    return found.unionByName(alone).unionByName(runs.join(alone.select("row"), "row", "left_anti"))
 
 
 @F.udf(T.StructType([T.StructField("status", T.StringType()), T.StructField("score", T.DoubleType())]), useArrow=True)
