@@ -144,7 +144,7 @@ def quote_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Escapes, cuts, short ids, page references, numbers, boxes and lists of ids."""
     c, w, k = F.col, F.lit, F.col("doc_id")
-    text = F.concat(w("<a href='"), F.regexp_replace(F.substring(F.coalesce("text", w("")), 1, 60), "[^A-Za-z]+", " "), w('"&>'))
+    text = F.concat(w("<a href='"), F.regexp_replace(F.coalesce("text", w("")), "[^A-Za-z]+", " "), w('"&>'))
     number = F.when(k % 3 == 0, w("x1")).when(k % 3 == 1, F.concat(w(" "), k)).otherwise(k.cast("string"))
     box = F.when(k % 4 == 0, "null").when(k % 4 == 1, "[1, 2, 3]").when(k % 4 == 2, F.concat(w("[0, 1.5, 2, "), k, w("]")))
     ids = F.when(k % 4 == 0, F.concat(w('["a'), k, w('", "b"]'))).when(k % 4 == 1, "plain").when(k % 4 == 2, " ")
@@ -248,7 +248,7 @@ ORACLE_SQL = {
         SELECT d AS doc_id, CASE WHEN yes > no AND t = 'not_covered' THEN 'covered' WHEN no > yes AND t IN ('covered', 'limit') THEN 'not_covered' ELSE t END AS item_type, (yes > no AND t = 'not_covered') OR (no > yes AND t IN ('covered', 'limit')) AS column_role_override FROM t""",
     "fuzzy_quotes": f"WITH {_FUZZY} SELECT conv_id, turn, status, score, lpad(CAST(turn AS VARCHAR), 3, '0') AS ids, turn AS page_start, CAST(turn + 2 AS DOUBLE) AS y1 FROM s",
     "quote_statuses": f"WITH {_FUZZY} SELECT status, count(*) AS n FROM s GROUP BY status",
-    "text_helpers": """WITH d AS (SELECT doc_id AS k, '<a href=''' || regexp_replace(substr(coalesce(text, ''), 1, 60), '[^A-Za-z]+', ' ', 'g') || '"&>' AS t FROM documents), x AS (SELECT *, trim(regexp_replace(t, ' +', ' ', 'g')) AS n FROM d)
+    "text_helpers": """WITH d AS (SELECT doc_id AS k, '<a href=''' || regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' ', 'g') || '"&>' AS t FROM documents), x AS (SELECT *, trim(regexp_replace(t, ' +', ' ', 'g')) AS n FROM d)
         SELECT k AS doc_id, replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped, CASE WHEN length(n) <= 40 THEN n ELSE rtrim(substr(n, 1, 37)) || '...' END AS cut, CASE WHEN length(n) <= 40 THEN n ELSE rtrim(substr(n, 1, 40)) || '...' END AS cut_after,
             CASE WHEN k % 2 = 0 THEN 'sc' || k || ':c' || (k % 5) ELSE 'd' || k END AS short_id, CASE WHEN k % 3 <> 0 THEN ' <span class=''page-ref''>(p. ' || k || ', ' || (k + 1) || ')</span>' ELSE '' END AS pages, CASE WHEN k % 3 = 0 THEN 7 ELSE k END AS number, CASE WHEN k % 4 = 2 THEN CAST(k AS DOUBLE) END AS y1,
             CASE k % 4 WHEN 0 THEN 'a' || k || '|b' WHEN 1 THEN 'plain' ELSE '' END AS ids FROM x""",

@@ -111,8 +111,11 @@ def table_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _piece(at: int) -> F.Column:
-    """Words of a document without marks, so that they are one sentence."""
-    return F.trim(F.concat(F.lit("stuk "), F.trim(F.substring(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " "), at, 30))))
+    """All words of a document, from one of four places on and around, without marks, so that
+    they are one sentence."""
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", " "))
+    cut = F.floor(F.length(words) * (at // 30) / 4).cast("int")
+    return F.trim(F.concat(F.lit("stuk "), F.trim(F.concat(F.substring(words, cut + 1, F.length(words)), F.substring(words, F.lit(1), cut)))))
 
 
 def _chunk(docs: DataFrame, kind, title, text, *, box=None, pairs=None, rows=None) -> DataFrame:
@@ -208,7 +211,8 @@ QUERIES = {f.__name__: f for f in (layout_chunks, layout_blocks, layout_log, use
 
 _CLEAN = r"trim(regexp_replace(regexp_replace(replace(trim(regexp_replace(replace(coalesce({0}, ''), chr(173), ''), '[\s\p{{Z}}\x0B]+', ' ', 'g')), chr(65533), '€'), '^[•\-–—\s]+', ''), '[\s\p{{Z}}]+', ' ', 'g'))"
 _STRIP = r"regexp_replace({0}, '^[\s\p{{Z}}\x0B]+|[\s\p{{Z}}\x0B]+$', '', 'g')"
-_PIECE = "'stuk ' || trim(substr(regexp_replace(lower(coalesce(text, '')), '[^a-z]+', ' ', 'g'), {0}, 30))"
+_WORDS = "trim(regexp_replace(lower(coalesce(text, '')), '[^a-z]+', ' ', 'g'))"
+_PIECE = f"'stuk ' || trim(substr({_WORDS}, length({_WORDS}) * ({{0}} // 30) // 4 + 1) || substr({_WORDS}, 1, length({_WORDS}) * ({{0}} // 30) // 4))"
 _D = f"d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE source END AS path, trim({_PIECE.format(1)}) AS a, trim({_PIECE.format(31)}) AS b, trim({_PIECE.format(61)}) AS e, trim({_PIECE.format(91)}) AS g FROM documents)"
 #: Clause rows out of (doc_id, path, title, i, row, role, hint, text).
 _ROWS_SQL = """SELECT doc_id || ':k' || (doc_id % 3) || ':r' || coalesce(CAST(row AS VARCHAR), 'na') || ':c' || i AS clause_id,
