@@ -91,7 +91,7 @@ def test_periodic_runs_on_odd_rows(spark):
     tie = spark.createDataFrame([(1, " ".join(["a b c"] * 10 + ["x"] + ["d e"] * 15 + ["y"] + ["f g"] * 15))], "doc_id long, text string")
     assert tuple(periodic_runs(tie).first().strongest) == (31, 30, 2)
     cut = collapse_runs(df)
-    assert cut.columns == df.columns and sorted((r.text or "-", r.runs, r["__part"]) for r in cut.collect()) == sorted((x, "mine", 7) for x in ("-", "", " \n\t", "a b", "a b", "x a b y", "é É", "w"))
+    assert cut.columns == df.columns and sorted(("-" if r.text is None else r.text, r.runs, r["__part"]) for r in cut.collect()) == sorted((x, "mine", 7) for x in ("-", "", " \n\t", "a b", "a b", "x a b y", "é É", "w"))
     assert periodic_runs(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         periodic_runs(df, times=2)
