@@ -274,11 +274,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
         schema = pa.schema([("f", pa.string()), ("fold", pa.int32()), ("n", pa.int64()), ("toxic", pa.int64())])
         counted = rows.select("text", "toxic", "fold").mapInArrow(_labelled(log_p, schema), "f string, fold int, n long, toxic long").groupBy("f", "fold").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-        many = counted.groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.collect_list(F.struct("fold", "n", "toxic")).alias("parts")).where(F.col("toxic") >= least_rows)
-        found = many.collect()  # bounded by the sample
         # clean rows are thinner in the sample than in the labels: weigh them back
         n_toxic = sum(drawn.values())
         lift = max(1.0, (1 - prior) / max(prior, 1e-9) * n_toxic / max(1, len(drawn) - n_toxic))
+        bar = max(least, 1.5 * prior)
+        chance = lambda n, toxic: (toxic + shrink * prior) / (toxic + (n - toxic) * lift + shrink)
+        many = counted.groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.collect_list(F.struct("fold", "n", "toxic")).alias("parts")).where(F.col("toxic") >= least_rows)
+        # those that count with all folds or without one of them; bounded by the sample
+        counts_without = F.exists("parts", lambda x: chance(F.col("n") - x["n"], F.col("toxic") - x["toxic"]) >= bar)
+        found = many.where((chance(F.col("n"), F.col("toxic")) >= bar) | counts_without).collect()
 
         def learned(left_out: int | None) -> dict[str, float]:
             out = {}
@@ -287,8 +291,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
                 for x in r.parts:
                     if x.fold == left_out:
                         n, toxic = n - x.n, toxic - x.toxic
-                p = (toxic + shrink * prior) / (toxic + (n - toxic) * lift + shrink)
-                if toxic >= least_rows and p >= max(least, 1.5 * prior):
+                p = chance(n, toxic)
+                if toxic >= least_rows and p >= bar:
                     out[r.f] = math.log(p / (1 - p)) - start
             return out
 
