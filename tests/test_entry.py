@@ -4,11 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from foliant.plans import choices, reference, structure
+from foliant.plans import choices, reference, structure, whole
 
 DATA = "/root/testdata/sf0.001"
-QUERIES = reference.QUERIES | structure.QUERIES | choices.QUERIES
-ORACLE_SQL = reference.ORACLE_SQL | structure.ORACLE_SQL | choices.ORACLE_SQL
+QUERIES = reference.QUERIES | structure.QUERIES | choices.QUERIES | whole.QUERIES
+ORACLE_SQL = reference.ORACLE_SQL | structure.ORACLE_SQL | choices.ORACLE_SQL | whole.ORACLE_SQL
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
