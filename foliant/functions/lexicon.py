@@ -7,6 +7,8 @@ COLUMN_SPLIT = 300
 
 #: Marks of lists that open a clause, as characters of a pattern.
 CLAUSE_MARKS = r"\-•‣●◦"
+#: Bullets that part the items inside a text.
+BULLETS = "•‣●◦·"
 #: Phrases that open a clause and say nothing, as a pattern.
 CLAUSE_HEADERS = r"Bijzonderheden:|1\. Dit is verzekerd 2\. Dit is niet verzekerd\s+"
 #: Abbreviations that end no sentence.

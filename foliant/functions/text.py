@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EDGES = r"(?U)^\s+|\s+$"
+_SPACED = r"[^ -~\xA1-\xFF]|  "  # what may be white space other than single spaces
 
 
 def bound(c: Column, f: Callable[[Column], Column]) -> Column:
@@ -18,7 +19,9 @@ def bound(c: Column, f: Callable[[Column], Column]) -> Column:
 
 def normalise_space(c: Column) -> Column:
     """Null to empty, soft hyphens out, every run of white space to one space, trimmed."""
-    return F.trim(F.regexp_replace(F.replace(F.coalesce(c, F.lit("")), F.lit("­"), F.lit("")), r"(?U)\s+", " "))
+    # a text of Latin letters and single spaces is left as it is, which a look at its bytes tells
+    spaced = lambda x: F.when(x.rlike(_SPACED), F.regexp_replace(x, r"(?U)\s+", " ")).otherwise(x)
+    return F.trim(bound(F.replace(F.coalesce(c, F.lit("")), F.lit("­"), F.lit("")), spaced))
 
 
 def strip(c: Column) -> Column:
@@ -27,13 +30,21 @@ def strip(c: Column) -> Column:
 
 def clean_clause(c: Column, headers: str = "", marks: str = r"•\-–—") -> Column:
     """Normalised text without leading ``marks`` and, if given, a leading header phrase."""
-    x = F.replace(normalise_space(c), F.lit("�"), F.lit("€"))
-    x = F.regexp_replace(x, rf"^[{marks}\s]+", "")
-    return normalise_space(F.regexp_replace(x, f"(?i)^(?:{headers})", "") if headers else x)
+    return tidy_clause(F.replace(normalise_space(c), F.lit("�"), F.lit("€")), headers, marks)
+
+
+def tidy_clause(c: Column, headers: str = "", marks: str = r"•\-–—") -> Column:
+    """``clean_clause`` of a text whose white space is normalised."""
+    x = F.regexp_replace(c, rf"^[{marks}\s]+", "")
+    return F.trim(F.regexp_replace(x, f"(?i)^(?:{headers})", "") if headers else x)
 
 
 def normalised_clause(c: Column, headers: str = "", marks: str = r"•\-–—") -> Column:
-    return F.regexp_replace(F.lower(clean_clause(c, headers, marks)), r"[.:;,]+$", "")
+    return without_end(F.lower(clean_clause(c, headers, marks)))
+
+
+def without_end(c: Column) -> Column:
+    return F.regexp_replace(c, r"[.:;,]+$", "")
 
 
 def word_count(c: Column) -> Column:
