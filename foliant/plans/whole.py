@@ -23,11 +23,12 @@ def quote_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, w = F.col, F.lit
     letters = F.regexp_replace(F.lower(normalise_space(c("text"))), "[^a-z]", "_")
     turns = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.lpad(c("turn").cast("string"), 3, "0").alias("clause_id"), F.concat(w("t"), c("turn"), w("-"), letters, w("."), c("conv_id")).alias("clause_text"))
-    after = turns.select("conv_id", (c("turn") - 1).alias("turn"), F.substring("clause_text", 1, 25).alias("after"))
+    after = turns.select("conv_id", (c("turn") - 1).alias("turn"), F.substring(c("clause_text"), w(1), F.least(w(25), F.length("clause_text") - 1)).alias("after"))
     kind = F.pmod(c("turn") + c("conv_id"), w(5))
     hit = lambda x, at: F.concat(F.substring(x, 1, at - 1), w("#"), F.substring(x, at + 1, 50))
     half = F.concat(F.substring("clause_text", 1, 20), w("#" * 20))
-    across = F.concat(F.substring("clause_text", -25, 25), w(" "), c("after"))
+    # as much of both turns, and neither whole: a turn that a quote holds would be its match
+    across = F.concat(F.right(c("clause_text"), F.length("after")), w(" "), c("after"))
     quote = F.when(kind == 0, hit(hit(hit(hit(F.substring("clause_text", 1, 50), 4), 6), 8), 10)).when(kind == 1, F.concat(w("."), c("conv_id"))).when(kind == 4, across).otherwise(half)
     long = F.length("clause_text") >= 60
     items = turns.join(after, ["conv_id", "turn"], "left").where(long & ((kind != 4) | c("after").isNotNull())).select("conv_id", "turn", quote.alias("exact_quote"), F.when(kind == 2, F.array("clause_id")).alias("supporting_clause_ids"))
