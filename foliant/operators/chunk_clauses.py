@@ -163,8 +163,7 @@ def chunk_clauses(chunks: DataFrame) -> DataFrame:
         .otherwise(plain)
     )
     passed = [x for x in chunks.columns if x not in ("pairs", "rows")]
-    # an inner posexplode asks first whether there is anything, which finds all clauses twice more;
-    # a chunk without clauses gives a row without text here, which is skipped
+    # a chunk without clauses gives a row without text, which is skipped
     out = df.select(*passed, F.posexplode_outer(found).alias("clause_position", "f")).where(~_says_nothing(F.lower(_tidy(c("f.text")))))
     number = F.concat(c("doc_id"), F.lit(":"), c("chunk_id"), F.lit(":r"), F.coalesce(c("f.row").cast("string"), F.lit("na")), F.lit(":c"), c("clause_position"))
     return out.select(
