@@ -22,16 +22,38 @@ def _bounds(quote: str, text: str) -> np.ndarray:
     own = np.frombuffer(quote.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
 
     def common(mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-        size, total = len(mine), np.zeros(len(theirs) - len(mine) + 1, np.int64)
-        for c, many in zip(*np.unique(mine, return_counts=True), strict=True):
-            seen = np.concatenate([[0], np.cumsum(theirs == c)])
-            total += np.minimum(seen[size:] - seen[: len(total)], many)
-        return total
+        # a place of the text counts in the stretches that hold it and not too many of its kind before it
+        size, stretches = len(mine), len(theirs) - len(mine) + 1
+        kinds, many = np.unique(mine, return_counts=True)
+        kind = np.minimum(np.searchsorted(kinds, theirs), len(kinds) - 1)
+        at = np.flatnonzero(kinds[kind] == theirs)
+        at = at[np.argsort(kind[at], kind="stable")]
+        kind = kind[at]
+        before = np.arange(len(at)) - many[kind]
+        since = np.where(before >= np.searchsorted(kind, kind), at[np.maximum(before, 0)] + 1, 0)
+        first, after = np.minimum(np.maximum(since, at - size + 1), stretches), np.minimum(at + 1, stretches)
+        return np.cumsum(np.bincount(first, minlength=stretches + 1) - np.bincount(after, minlength=stretches + 1))[:stretches]
 
     pairs = common(own[:-1] << 21 | own[1:], chars[:-1] << 21 | chars[1:])
     return np.minimum(common(own, chars), (pairs + 1 + 2 * n) / 3)
 
 
+def may_reach(quote: str, text: str, floor: float) -> bool:
+    """False only if the similarity is below the floor. Blocks of matching characters part where
+    a character of either text doesn't match. At a score of the floor at most e of them don't, so
+    of e + 1 pieces of the quote at least one lies whole in a block, and in the text."""
+    n, m = len(quote), len(text)
+    if quote in text or text in quote:
+        return True
+    most = [2 * int((1 - floor) * n + 1e-6)] if 10 <= n <= m else []
+    if 2 * min(n, m) >= (floor - 1e-9) * (n + m):
+        most.append(int((1 - floor) * (n + m) + 1e-6))
+    if not most:
+        return False
+    pieces = max(most) + 1
+    return pieces > n or any(quote[i * n // pieces : (i + 1) * n // pieces] in text for i in range(pieces))
+
+
 def similarity(quote: str, text: str, floor: float = 0.0) -> float:
     """1 if either holds the other; else the best ratio of the quote against the text and,
     from 10 characters on, against every stretch of the text of the quote's length.
@@ -40,14 +62,17 @@ def similarity(quote: str, text: str, floor: float = 0.0) -> float:
     reach the floor; a result below the floor says only that."""
     if quote in text or text in quote:
         return 1.0
-    n = len(quote) + len(text)
-    best = SequenceMatcher(None, quote, text).ratio() if n and 2 * min(len(quote), len(text)) / n >= floor else 0.0
+    n, best = len(quote) + len(text), 0.0
     if 10 <= len(quote) <= len(text):
         shared = _bounds(quote, text)
         for i in np.argsort(-shared, kind="stable"):
             if shared[i] / len(quote) <= best or shared[i] / len(quote) < floor:
                 break
             best = max(best, SequenceMatcher(None, quote, text[i : i + len(quote)]).ratio())
+    # last, as a long text rarely has room for a better ratio as a whole
+    most = 2 * min(len(quote), len(text)) / n if n else 0.0
+    if most >= floor and most > best:
+        best = max(best, SequenceMatcher(None, quote, text).ratio())
     return best
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.operators.matching import normalised, similarity
+from foliant.operators.matching import may_reach, normalised, similarity
 from foliant.operators.scan import numbered_in
 from foliant.sources.shared import durable
 
@@ -66,16 +66,19 @@ def best_places(quote: str, floor: float, texts: list[str], of: tuple[np.ndarray
     if held:
         return 1.0, held
     order = np.argsort(-top, kind="stable").tolist()
-    if floor == 0 and texts:  # what shares most grams is likely to set a high mark
-        cut = {quote[i : i + GRAM] for i in range(len(quote) - GRAM + 1)}
+    if texts:  # what shares most grams is likely to set a high mark
+        cut = [quote[i : i + GRAM] for i in range(0, len(quote) - GRAM + 1, GRAM)]
         order.insert(0, max(range(len(texts)), key=lambda i: sum(g in texts[i] for g in cut)))
-    for i in order:
+    for k, i in enumerate(order):
         if i in scores:
             continue
         if top[i] < best:
-            break
-        scores[i] = similarity(quote, texts[i], best)
-        best = max(best, scores[i])
+            if k:
+                break
+            continue
+        if may_reach(quote, texts[i], best):
+            scores[i] = similarity(quote, texts[i], best)
+            best = max(best, scores[i])
     found = sorted(i for i, s in scores.items() if s == best and s > 0)
     return (best, found) if found else (0.0, [])
 
@@ -130,8 +133,8 @@ def _tiled(quotes: DataFrame, clauses: DataFrame, keys: list[str], block: int, r
 def _best(found: DataFrame, first: bool = False) -> DataFrame:
     """(row, score, places): the best of several tiles, places of ties in order; with ``first``
     the first place alone."""
-    top = found.groupBy("row").agg(F.max("score").alias("score"))
-    same = found.join(top, ["row", "score"]).groupBy("row", "score")
+    top = found.withColumn("__top", F.max("score").over(Window.partitionBy("row")))
+    same = top.where(F.col("score") == F.col("__top")).groupBy("row", "score")
     if first:
         return same.agg(F.min(F.array_min("places")).alias("place")).select("row", "score", F.array("place").alias("places"))
     return same.agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
@@ -157,27 +160,36 @@ def holding(quotes: DataFrame, clauses: DataFrame, keys: list[str]) -> DataFrame
 
 
 @F.udf(T.StructType([T.StructField("floor", T.DoubleType()), T.StructField("of_run", T.DoubleType())]), useArrow=True)
-def _tried(quote: str, texts: list[str], at: int) -> tuple[float, float]:
-    """Score of the clause at a place of a list of neighbours, and of the best run with it."""
-    own, run = similarity(quote, texts[at]), 0.0
-    for a in range(max(0, at - 2), min(at, len(texts) - 2) + 1):
-        run = max(run, similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()), run))
-    return own, run
-
-
-def floors(quotes: DataFrame, clauses: DataFrame, keys: list[str], probes: int = 8, tries: int = 3) -> DataFrame:
+def _tried(quote: str, near: list[list[str]], places: list[int], below: float) -> tuple[float, float]:
+    """Best score of the clauses at places of lists of neighbours, and below a score that of the
+    runs with them."""
+    best = run = 0.0
+    for least in (below, 0.0):  # what is far from it is not worth the time where another reaches it
+        for texts, at in zip(near, places, strict=True):
+            if may_reach(quote, texts[at], max(best, least)):
+                best = max(best, similarity(quote, texts[at], max(best, least)))
+        if best >= below:
+            return best, 0.0
+    for texts, at in zip(near, places, strict=True):
+        for a in range(max(0, at - 2), min(at, len(texts) - 2) + 1):
+            run = max(run, similarity(quote, " ".join(" ".join(texts[a : a + 3]).split()), run))
+    return best, run
+
+
+def floors(quotes: DataFrame, clauses: DataFrame, keys: list[str], probes: int = 8, tries: int = 3, below: float = 0.0) -> DataFrame:
     """Quotes (keys, row, q) with a floor, the best score against the ``tries`` clauses that share
-    most of the quote's ``probes`` rarest grams, and of_run, the best against runs of three that
-    hold one of these; 0 if no clause does."""
+    most of the quote's ``probes`` rarest grams, and of_run, where that is below ``below`` the best
+    against runs of three that hold one of these; 0 if no clause does."""
     index = clauses.select(*keys, "pos", F.explode(grams(F.col("t"))).alias("__g"))
     held = quotes.select(*keys, "row", F.explode(grams(F.col("q"))).alias("__g")).join(index.groupBy(*keys, "__g").agg(F.count(F.lit(1)).alias("__n")), [*keys, "__g"])
     few = held.withColumn("__r", F.row_number().over(Window.partitionBy("row").orderBy("__n", "__g"))).where(F.col("__r") <= probes)
     shared = few.join(index, [*keys, "__g"]).groupBy(*keys, "row", "pos").agg(F.count(F.lit(1)).alias("m"))
     top = shared.withColumn("__r", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("m"), "pos"))).where(F.col("__r") <= tries)
-    near = top.select(*keys, "row", F.col("pos").alias("__at"), F.explode(F.sequence(F.col("pos") - 2, F.col("pos") + 2)).alias("pos")).join(clauses, [*keys, "pos"])
-    near = near.groupBy(*keys, "row", "__at").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("x"))
-    tried = near.join(quotes, [*keys, "row"]).select("row", _tried("q", "x.t", (F.array_position("x.pos", F.col("__at")) - 1).cast("int")).alias("s"))
-    best = tried.groupBy("row").agg(F.max("s.floor").alias("floor"), F.max("s.of_run").alias("of_run"))
+    near = top.select(*keys, "row", "__r", F.col("pos").alias("__at"), F.explode(F.sequence(F.col("pos") - 2, F.col("pos") + 2)).alias("pos")).join(clauses, [*keys, "pos"])
+    near = near.groupBy("row", "__r", "__at").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("x"))
+    each = F.struct("__r", F.col("x.t").alias("t"), (F.array_position("x.pos", F.col("__at")) - 1).cast("int").alias("at"))
+    near = near.groupBy("row").agg(F.array_sort(F.collect_list(each)).alias("y")).join(quotes, "row")
+    best = near.select("row", _tried("q", "y.t", "y.at", F.lit(float(below))).alias("s")).select("row", "s.floor", "s.of_run")
     return quotes.join(best, "row", "left").select(*quotes.columns, F.coalesce("floor", F.lit(0.0)).alias("floor"), F.coalesce("of_run", F.lit(0.0)).alias("of_run"))
 
 
@@ -197,9 +209,10 @@ def best_clauses(quotes: DataFrame, clauses: DataFrame, keys: list[str], *, bloc
     large = clauses.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > block).select(*keys)
     left, found = quotes.select("*", F.lit(0.0).alias("floor"), F.lit(0.0).alias("of_run")), None
     if not large.isEmpty():
-        there = quotes.join(large, keys, "left_semi")
-        found = durable(holding(there, clauses.join(large, keys, "left_semi"), keys).groupBy("row").agg(F.lit(1.0).alias("score"), F.array_sort(F.collect_list("pos")).alias("places")).withColumn("run", kind(False)))
-        rest = floors(there.join(found.select("row"), "row", "left_anti"), clauses, keys)
+        # written, so that grams are taken of these clauses alone
+        there, those = quotes.join(large, keys, "left_semi"), durable(clauses.join(large, keys, "left_semi"))
+        found = durable(holding(there, those, keys).groupBy("row").agg(F.lit(1.0).alias("score"), F.array_sort(F.collect_list("pos")).alias("places")).withColumn("run", kind(False)))
+        rest = floors(there.join(found.select("row"), "row", "left_anti"), those, keys, below=run_below or 0.0)
         left = durable(rest.unionByName(left.join(large, keys, "left_anti")))
     with_found = lambda df: df if found is None else found.unionByName(df)
     if run_below is None:
@@ -249,7 +262,8 @@ def validate_items(
     asked = asked.where(F.coalesce("raw", F.lit("")) != "").drop("raw").join(at.select(*k).distinct(), k, "left_semi")
     known = asked.select("row", *k, F.posexplode("ids").alias("j", "__id")).join(at.select(*k, "__id", "pos", "t"), [*k, "__id"])
     known = known.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("j", "pos", "t"))).alias("v"))
-    both = asked.drop("ids").join(known, "row", "left").withColumn("joined", normalised(F.array_join("v.t", " ")))
+    # few bytes, but much to compare: a number given is not made smaller
+    both = asked.drop("ids").repartition(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row").join(known, "row", "left").withColumn("joined", normalised(F.array_join("v.t", " ")))
     both = durable(both.select("row", *k, "q", F.col("v.pos").alias("cited_places"), _cited("q", "joined", "v.t", F.lit(verified), F.lit(fuzzy)).alias("m")))
     near = both.where("m.status IS NOT NULL").select("row", "m", F.col("cited_places").alias("places"))
     todo = both.where("m.status IS NULL").select("row", *k, "q", F.col("m.score").alias("cited_score"), "cited_places")
